@@ -50,8 +50,11 @@ def _children(text: str, start: int, end: int, level: int) -> list[tuple[int, in
     return list(zip(cuts, cuts[1:]))
 
 
-def _packed(text: str, start: int, end: int, cap: int, level: int = 0) -> list[tuple[int, int]]:
-    """Spans of at most ``cap`` that cover start..end; only a node that is too large is opened."""
+def _packed(text: str, start: int, end: int, cap: int, level: int = 0, least: int = OVERLAP) -> list[tuple[int, int]]:
+    """Spans of at most ``cap`` that cover start..end; only a node that is too large is opened.
+
+    A span shorter than ``least`` that its next sibling doesn't fit into is filled up from that sibling's own nodes.
+    """
     if end - start <= cap:
         return [(start, end)]
     if level == len(_LEVELS):
@@ -65,7 +68,11 @@ def _packed(text: str, start: int, end: int, cap: int, level: int = 0) -> list[t
         return [*out, (at, end)]
     spans: list[tuple[int, int]] = []
     for a, b in _children(text, start, end, level):
-        for piece in [(a, b)] if b - a <= cap else _packed(text, a, b, cap, level + 1):
+        if spans and spans[-1][1] - spans[-1][0] < least and b - spans[-1][0] > cap:
+            pieces = _packed(text, spans.pop()[0], b, cap, level + 1, least)
+        else:
+            pieces = [(a, b)] if b - a <= cap else _packed(text, a, b, cap, level + 1, least)
+        for piece in pieces:
             if spans and piece[1] - spans[-1][0] <= cap:
                 spans[-1] = (spans[-1][0], piece[1])  # siblings merge as long as they fit
             else:
@@ -77,7 +84,7 @@ def split_text(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tu
     """(start, end) of consecutive pieces of at most ``limit`` characters, each beginning ``overlap`` before the last end."""
     if len(text) <= limit:
         return [(0, len(text))]
-    ends = [b for _, b in _packed(text, 0, len(text), limit - overlap)]
+    ends = [b for _, b in _packed(text, 0, len(text), limit - overlap, least=overlap + 1)]
     starts = [0] + [max(0, e - overlap) for e in ends[:-1]]
     return list(zip(starts, ends))
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import consensus, copies, pieces, quality, tokens
+from tidemark.llm import consensus, copies, leaks, pieces, quality, scans, sites, tokens
 from tidemark.sources.tables import table
 
 
@@ -18,6 +18,14 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.oversized_pages(p2_pieces(spark, folder))
 
 
+def p4_paragraphs(spark: SparkSession, folder: str) -> DataFrame:
+    return scans.repaired_text(table(spark, folder, "paper_ocr_context"))
+
+
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    return scans.found_noise(table(spark, folder, "paper_ocr_context"))
+
+
 def p5_records(spark: SparkSession, folder: str) -> DataFrame:
     return copies.collapse_copies(table(spark, folder, "extraction_results"))
 
@@ -58,8 +66,24 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     return quality.not_prose(p10_quality(spark, folder))
 
 
+def p3_matches(spark: SparkSession, folder: str) -> DataFrame:
+    return sites.match_sites(table(spark, folder, "entity_dim"), table(spark, folder, "site_registry"))
+
+
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    return sites.same_sites(p3_matches(spark, folder))
+
+
+def p9_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    return leaks.leaked_items(table(spark, folder, "documents"), table(spark, folder, "heldout_items"))
+
+
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p9_leaks(spark, folder).select("item_id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (p2_pieces, p2_found, p5_records, p5_found, p7_consensus, p7_reliability, p7_agreement, p7_found, p8_ids, p8_round_trip, p10_quality, p10_found)
+    for f in (p2_pieces, p2_found, p3_matches, p3_found, p4_paragraphs, p4_found, p9_leaks, p9_found, p5_records, p5_found, p7_consensus, p7_reliability, p7_agreement, p7_found, p8_ids, p8_round_trip, p10_quality, p10_found)
 }
 SQL: dict[str, str] = {}

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm import consensus, copies, leaks, pieces, quality, scans, sites, tokens
 from tidemark.sources.tables import table
@@ -43,7 +44,7 @@ def p7_reliability(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p7_agreement(spark: SparkSession, folder: str) -> DataFrame:
-    return consensus.krippendorff(table(spark, folder, "votes"))
+    return consensus.krippendorff(table(spark, folder, "votes")).withColumn("alpha", F.round("alpha", 9))
 
 
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -86,4 +87,28 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (p2_pieces, p2_found, p3_matches, p3_found, p4_paragraphs, p4_found, p9_leaks, p9_found, p5_records, p5_found, p7_consensus, p7_reliability, p7_agreement, p7_found, p8_ids, p8_round_trip, p10_quality, p10_found)
 }
-SQL: dict[str, str] = {}
+_OPEN = r"""(?i)<page\s+number\s*=\s*["']?\s*(\d+)\s*["']?\s*>""".replace("'", "''")
+_FIELDS = ("name", "identifiers", "ecosystem_type", "location", "date", "sub_location", "additional_details", "attribute", "value", "units")
+
+
+def _canonical_sql(field: str) -> str:
+    low = f"lower(upper(json_extract_string(data, '$.{field}')))"
+    if field in copies.NUMERIC_FIELDS:
+        points = f"regexp_replace({low}, '\\.([^\\p{{N}}]|$)', '\\1', 'g')"
+        return f"nullif(regexp_replace({points}, '[^\\p{{L}}\\p{{N}}\\p{{M}}\\p{{S}}\\p{{Pd}}.%‰]+', '', 'g'), '')"
+    return f"nullif(regexp_replace(regexp_replace({low}, '[^\\p{{L}}\\p{{N}}\\p{{M}}\\p{{S}}%‰]+', '', 'g'), '[`^|~$]+', '', 'g'), '')"
+
+
+_RECORDS = f"SELECT paper_id, result_id, {', '.join(f'{_canonical_sql(f)} AS {f}' for f in _FIELDS)} FROM (SELECT DISTINCT paper_id, result_id, data FROM extraction_results)"
+_LAST_VOTES = """SELECT extraction_id AS item, vote FROM (SELECT *, row_number() OVER (PARTITION BY extraction_id, voter_hash ORDER BY created_at DESC, id DESC) AS r FROM votes WHERE voter_hash IS NOT NULL) WHERE r = 1
+ UNION ALL SELECT extraction_id, vote FROM (SELECT DISTINCT id, extraction_id, vote FROM votes WHERE voter_hash IS NULL)"""
+
+SQL: dict[str, str] = {
+    "p2_found": f"""WITH p AS (SELECT paper_id, context, regexp_extract_all(context, '{_OPEN}', 1) AS n, string_split_regex(context, '{_OPEN}') AS x FROM paper_ocr_context),
+u AS (SELECT paper_id, CAST(n[i] AS BIGINT) AS page_number, regexp_replace(x[i + 1], '(?is)</page\\s*>.*$', '') AS t FROM p, unnest(range(1, len(n) + 1)) AS r(i) UNION ALL SELECT paper_id, 0, context FROM p WHERE len(n) = 0)
+SELECT DISTINCT paper_id, page_number FROM u WHERE length(regexp_replace(t, '^\\s+|\\s+$', '', 'g')) > 2000""",
+    "p5_records": f"SELECT paper_id, MIN(result_id) AS first_id, COUNT(*) AS n_copies FROM ({_RECORDS}) GROUP BY paper_id, {', '.join(_FIELDS)}",
+    "p5_found": f"SELECT first_id, copy_id FROM (SELECT MIN(result_id) OVER (PARTITION BY paper_id, {', '.join(_FIELDS)}) AS first_id, result_id AS copy_id FROM ({_RECORDS})) WHERE first_id <> copy_id",
+    "p7_agreement": f"""WITH i AS (SELECT item, COUNT(*)::DOUBLE AS n, SUM(CASE WHEN vote THEN 1.0 ELSE 0.0 END)::DOUBLE AS y FROM ({_LAST_VOTES}) GROUP BY item HAVING COUNT(*) > 1)
+SELECT COUNT(*) AS n_items, CAST(SUM(n) AS BIGINT) AS n_votes, round(1 - SUM(2 * y * (n - y) / (n - 1)) / (2 * SUM(y) * (SUM(n) - SUM(y)) / (SUM(n) - 1)), 9) AS alpha FROM i""",
+}

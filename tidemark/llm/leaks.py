@@ -40,8 +40,10 @@ def words_of(text: str | None) -> list[str]:
     if not text:
         return []
     plain = _BROKEN.sub("", text).replace("­", "").replace("​", "")
-    plain = unicodedata.normalize("NFKD", plain.lower())
-    return _WORDS.findall("".join(ch for ch in plain if not unicodedata.combining(ch)))
+    plain = plain.lower()
+    if not plain.isascii():
+        plain = "".join(ch for ch in unicodedata.normalize("NFKD", plain) if not unicodedata.combining(ch))
+    return _WORDS.findall(plain)
 
 
 @lru_cache(maxsize=1 << 18)
@@ -143,20 +145,23 @@ def projected(rows: list, space: np.ndarray) -> np.ndarray:
     return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
 
 
-def document_windows(words: list[str], idf: np.ndarray, space: np.ndarray) -> tuple[list[int], np.ndarray]:
-    """Unit vectors of all windows of a document, by differences of running sums; repeats in a window count fully."""
+def document_windows(words: list[str], weighted: np.ndarray) -> tuple[list[int], np.ndarray]:
+    """Unit vectors of all windows of a document, by differences of running sums; repeats in a window count fully.
+
+    ``weighted`` are the rows of the latent space times their inverse document frequency.
+    """
     one, two = slots(words)
     begin = starts(len(words), DOC_STEP)
     n = len(words)
-    row = np.zeros((n + 1, space.shape[1]), dtype=np.float32)
-    row[1:] = idf[one][:, None] * space[one]
-    pair = np.zeros((n + 1, space.shape[1]), dtype=np.float32)
-    pair[2:] = idf[two][:, None] * space[two]
-    row, pair = row.cumsum(0, dtype=np.float64), pair.cumsum(0, dtype=np.float64)
+    pairs = weighted[two]
+    total = np.zeros((n + 1, weighted.shape[1]), dtype=np.float32)
+    total[1:] = weighted[one]
+    total[2:] += pairs
+    np.cumsum(total, axis=0, out=total)
     s = np.array(begin)
-    e = np.minimum(s + WINDOW, n)
-    out = row[e] - row[s] + pair[e] - pair[np.minimum(s + 1, n)]
-    return begin, (out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)).astype(np.float32)
+    out = total[np.minimum(s + WINDOW, n)] - total[s]
+    out[s > 0] -= pairs[s[s > 0] - 1]  # the pair that reaches over the window's start
+    return begin, out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-6)
 
 
 def common_length(masks: dict[str, int], size: int, words: list[str]) -> int:
@@ -254,7 +259,7 @@ def leaked_items(documents: DataFrame, items: DataFrame) -> DataFrame:
         if not block.rows:
             continue
         space = latent_space(documents, block.rows, idf)
-        known = spark.sparkContext.broadcast((block, idf, space, projected(block.rows, space), np.array(block.owner)))
+        known = spark.sparkContext.broadcast((block, space * idf[:, None], projected(block.rows, space), np.array(block.owner)))
         part = documents.filter("text is not null").select(F.col("doc_id").cast("bigint"), "text").mapInArrow(_search(known), "item_id bigint, doc_id bigint, n_words int, n_edits int, score double")
         found = part if found is None else found.unionByName(part)
     if found is None:
@@ -264,7 +269,7 @@ def leaked_items(documents: DataFrame, items: DataFrame) -> DataFrame:
 
 def _search(known):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, idf, space, latent, owner = known.value
+        block, weighted, latent, owner = known.value
         for batch in batches:
             out = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -273,7 +278,7 @@ def _search(known):
                     continue
                 begin, hits = [], set()
                 for a in range(0, len(words), 6000):  # long texts in overlapping stretches
-                    here, vectors = document_windows(words[a : a + 6000 + WINDOW], idf, space)
+                    here, vectors = document_windows(words[a : a + 6000 + WINDOW], weighted)
                     base = len(begin)
                     begin += [a + s for s in here]
                     for k, j in zip(*np.nonzero(vectors @ latent.T >= COSINE)):

@@ -10,15 +10,16 @@ from tidemark.session import checkpointed
 
 #: Fields in which signs, decimal points and comparison signs are content.
 NUMERIC_FIELDS = ("value", "date")
+#: Lower-case letters that share their upper case with another, and that other one.
+FOLDED = ("µςſı", "μσsi")
 
 
 def canonical(field: Column, raw: Column) -> Column:
     """A value without white space, letter case and punctuation; null if nothing is left.
 
-    Upper case first, then lower case: both micro signs then are one letter, as they are when case is changed.
-    In numeric fields digits, letters, signs, comparison signs and points before a digit remain.
+    Letters that one change of case makes equal are one, such as both micro signs. In numeric fields digits, letters, signs, comparison signs and points before a digit remain.
     """
-    low = F.lower(F.upper(raw))
+    low = F.replace(F.translate(F.lower(raw), *FOLDED), F.lit("ß"), F.lit("ss"))
     text = F.regexp_replace(low, r"[^\p{L}\p{N}\p{M}\p{S}%‰]+", "")
     text = F.regexp_replace(text, r"[`^|~$]+", "")
     number = F.regexp_replace(low, r"\.(?!\p{N})", "")

@@ -24,7 +24,7 @@ NAVIGATION = frozenset(
     "home|search|print|share|login|log in|log out|sign in|register|subscribe|contact|about|help|sitemap|terms|privacy|cite|next|previous|next >|< previous|back to top|top|menu|download|download pdf|data portal|skip to content|cookies|accept|rss|archive".split("|")
 )
 
-_WORD = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*")
+_WORD = re.compile(r"(?<!\w)[^\W\d_]+(?:['’-][^\W\d_]+)*(?!\w)")
 _LINE = re.compile(r"\r\n|\r|\n| | |\f|\v")
 _END = re.compile(r"[.!?…][\"'”’»)\]]*$")
 _SENTENCE = re.compile(r"(?<=[.!?…])[\"'”’»)\]]*\s+(?=[^\Wa-zà-ÿ_]|[\"“«(\d])")
@@ -79,7 +79,8 @@ def _structure(line: str) -> str | None:
 
 
 def _common(words: list[str]) -> float:
-    return sum(w.lower() in COMMON_WORDS for w in words) / len(words) if words else 0.0
+    """The share of common words; short forms in capitals (DO, AT, NO) are none."""
+    return sum(w.lower() in COMMON_WORDS and not (len(w) > 1 and w.isupper()) for w in words) / len(words) if words else 0.0
 
 
 def _flow(text: str) -> list[tuple[str, int]]:

@@ -92,7 +92,7 @@ _FIELDS = ("name", "identifiers", "ecosystem_type", "location", "date", "sub_loc
 
 
 def _canonical_sql(field: str) -> str:
-    low = f"lower(upper(json_extract_string(data, '$.{field}')))"
+    low = f"replace(translate(lower(json_extract_string(data, '$.{field}')), '{copies.FOLDED[0]}', '{copies.FOLDED[1]}'), 'ß', 'ss')"
     if field in copies.NUMERIC_FIELDS:
         points = f"regexp_replace({low}, '\\.([^\\p{{N}}]|$)', '\\1', 'g')"
         return f"nullif(regexp_replace({points}, '[^\\p{{L}}\\p{{N}}\\p{{M}}\\p{{S}}\\p{{Pd}}.%‰]+', '', 'g'), '')"

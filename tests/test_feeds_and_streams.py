@@ -39,7 +39,8 @@ PAGES = '<page number="0">\n\nnitrate was low\n\n</page>\n<page number="1">\n\nv
 
 def test_pages(spark):
     rows = [("a", PAGES, "28.4", None, None), ("b", PAGES, "28.4", "salinity", None), ("c", PAGES, "1234.5", None, None), ("d", PAGES, None, "salinity", None), ("e", PAGES, "99.9", "salinity", None), ("f", "no tags", "1", None, None), ("g", PAGES, "5", None, "zz"), ("h", PAGES, "(?x", None, None)]
-    got = {r.k: (r.page_number, r.page_matched) for r in find_pages(spark.createDataFrame(rows, "k string, context string, value string, attribute string, units string"), "k").collect()}
+    frame = spark.createDataFrame(rows, "k string, context string, value string, attribute string, units string").withColumn("d", F.col("k"))
+    got = {r.k: (r.page_number, r.page_matched) for r in find_pages(frame, frame.select("k", F.col("k").alias("d"), "context").drop("k"), "k", "d").collect()}
     assert got == {"a": (1, True), "b": (2, True), "c": (1, True), "d": (0, False), "e": (2, False), "f": (None, False), "g": (0, False), "h": (0, False)}
     assert one(spark, lambda x: page_list(x), x=PAGES)[1].text == "value 28.4 and 1,234.50"
     assert one(spark, lambda x, v: marked_literal(x, v), x="5 125.5 5.", v="5") == "<mark>5</mark> 125.5 5."

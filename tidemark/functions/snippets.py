@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.text import let, stripped
+from tidemark.functions.text import stripped
 
 PAGE = r'(?s)<page number="(\d+)">(.*?)</page>'
 NUMBER = r"-?[\d,]+\.?\d*"
@@ -35,10 +35,6 @@ def literal_pattern(value: Column) -> Column:
     return F.concat(F.lit(r"(?<![\d.,-])\Q"), F.replace(value, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit(r"\E(?![\d.,])"))
 
 
-def holds_number(text: Column, number: Column) -> Column:
-    return let(number, lambda n: F.when(n.isNull(), False).otherwise(F.exists(F.regexp_extract_all(text, F.lit(NUMBER), F.lit(0)), lambda x: number_of(x) == n)))
-
-
 def marked_literal(text: Column, value: Column) -> Column:
     return F.regexp_replace(text, literal_pattern(value), F.lit("<mark>$0</mark>"))
 
@@ -63,19 +59,22 @@ def marked_number(text: pd.Series, number: pd.Series) -> pd.Series:
     return pd.Series([mark(t, n) for t, n in zip(text, number)])
 
 
-def find_pages(rows: DataFrame, key: str) -> DataFrame:
-    """(key, page_number, page_matched) of the page that shows each row's value best.
+def find_pages(rows: DataFrame, contexts: DataFrame, key: str, document: str) -> DataFrame:
+    """(key, page_number, page_matched) of the page that shows each row's value best, for rows with a context.
 
-    rows: key, context, value, attribute, units. In this order: pages with the value as a token, pages with an equal
-    number, pages that mention attribute or units, the first page; among hits one that mentions them goes first.
-    Without pages the number is null; a null or empty value goes to the first page unmatched.
+    rows: key, document, value, attribute, units; contexts: document, context. In this order: pages with the value as a
+    token, pages with an equal number, pages that mention attribute or units, the first page; among hits one that
+    mentions them goes first. Without pages the number is null; a null or empty value goes to the first page unmatched.
+    Pages are cut, and their numbers read, once per document and not per row.
     """
+    numbers = F.array_distinct(F.transform(F.regexp_extract_all("p.text", F.lit(NUMBER), F.lit(0)), number_of))
+    paged = contexts.select(document, F.posexplode_outer(page_list(F.col("context"))).alias("pos", "p")).select(document, "pos", "p.page", "p.text", F.lower("p.text").alias("low"), numbers.alias("numbers"))
+    asked = rows.select(key, document, "value", F.lower("attribute").alias("attribute"), F.lower("units").alias("units"), number_of(F.col("value")).alias("number"))
     given = (F.col("value") != "") & F.col("value").isNotNull()
-    mention = lambda c: F.coalesce((F.col(c) != "") & F.contains(F.lower("p.text"), F.lower(c)), F.lit(False))
-    paged = rows.select(key, "value", "attribute", "units", F.posexplode_outer(page_list(F.col("context"))).alias("pos", "p"))
-    literal = F.coalesce(given & F.regexp_like("p.text", literal_pattern(F.col("value"))), F.lit(False))
-    equal = F.coalesce(given & holds_number(F.col("p.text"), number_of(F.col("value"))), F.lit(False))
-    flagged = paged.select(key, "pos", F.col("p.page").alias("page"), given.alias("given"), literal.alias("literal"), equal.alias("equal"), (mention("attribute") | mention("units")).alias("mention"))
+    mention = lambda c: F.coalesce((F.col(c) != "") & F.contains("low", c), F.lit(False))
+    literal = F.coalesce(given & F.contains("text", "value") & F.regexp_like("text", literal_pattern(F.col("value"))), F.lit(False))
+    equal = F.coalesce(given & F.array_contains("numbers", F.col("number")), F.lit(False))
+    flagged = asked.join(paged, document).select(key, "pos", "page", given.alias("given"), literal.alias("literal"), equal.alias("equal"), (mention("attribute") | mention("units")).alias("mention"))
     tier = F.when(~F.col("given"), 3).when(F.col("literal"), 0).when(F.col("equal"), 1).when(F.col("mention"), 2).otherwise(3)
     # a page without the value must not win over one with it, and mentions only matter within a tier
     order = F.struct(tier.alias("tier"), F.when(F.col("given") & F.col("mention"), 0).otherwise(1).alias("m"), "pos", "page")

@@ -70,24 +70,30 @@ def common_name(rows: DataFrame, keys: list[str]) -> DataFrame:
 def similar_names(names: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(later, earlier) positions of names with SequenceMatcher ratio >= similarity, the later name first.
 
-    names: key, pos (distinct). A ratio of r leaves at most (1 - r) T of the T characters unmatched, so the matching
-    blocks are few and hold a known number of common bigrams. The rarest bigrams of a name that could all be missing,
-    and one more, find every such pair; the ratio itself is then computed for pairs that pass the count.
+    names: key, pos (distinct). Of T characters in both names at most (1 - similarity) T stay unmatched, which bounds the
+    number of matching blocks and so from below the number of bigrams in common. Two names that have so many in common
+    share one of each other's rarest bigrams, all but the guaranteed number of the commonest aside: those are the keys
+    of the join. Inside the join the length and the count of common bigrams are tested, before any row is made, and a
+    pair is kept under the first key it shares; the ratio itself is computed for what is left.
     """
-    grams = lambda c: F.transform(F.sequence(F.lit(1), F.length(c) - 1), lambda i: F.substring(c, i, F.lit(2)))
-    base = names.withColumn("size", F.length("key")).withColumn("grams", F.when(F.col("size") > 1, F.array_distinct(grams("key"))).otherwise(F.array("key")))
+    # M characters match in k blocks: M >= similarity T / 2, and k <= T - 2 M + 1, as each gap leaves one unmatched
+    per_char = 3 * similarity / 2 - 1  # common bigrams number M - k >= 3 M - T - 1 >= per_char T - 1
+    shorter = similarity / (2 - similarity)  # the least length of a partner, as a share of a name's own
+    grams = F.transform(F.sequence(F.lit(1), F.length("key") - 1), lambda i: F.substring(F.col("key"), i, F.lit(2)))
+    base = names.withColumn("size", F.length("key")).withColumn("grams", F.when(F.col("size") > 1, F.array_distinct(grams)).otherwise(F.array("key")))
+    base = base.withColumn("twice", F.greatest(F.col("size") - 1 - F.size("grams"), F.lit(0)))
     rarity = base.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count("*").alias("df"))
-    ranked = base.select("pos", "size", F.explode("grams").alias("gram")).join(rarity, "gram").groupBy("pos").agg(F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("g"))
-    # of the shorter partner's size S, T is at most 2 S / similarity; common bigrams number at least M - blocks
-    slack = (1 - similarity) * F.col("size") * 2 / similarity
-    needed = F.greatest(F.lit(1), F.floor(F.col("size") * similarity - slack - 1 - slack))
-    keep = F.greatest(F.lit(1), F.size("grams") - F.least(needed, F.size("grams")) + 1)
-    keyed = base.join(ranked, "pos").select("key", "pos", "size", "grams", F.explode(F.slice("g.gram", 1, keep.cast("int"))).alias("gram"))
+    ranked = base.select("pos", F.explode("grams").alias("gram")).join(rarity, "gram").groupBy("pos").agg(F.transform(F.sort_array(F.collect_list(F.struct("df", "gram"))), lambda g: g["gram"]).alias("rare"))
+    needed = F.floor(per_char * (1 + shorter) * F.col("size") - 1 - F.col("twice"))
+    keep = F.size("rare") - F.greatest(F.least(needed, F.size("rare")), F.lit(1)) + 1
+    placed = base.join(ranked, "pos").select("key", "pos", "size", "twice", "grams", F.slice("rare", F.lit(1), keep.cast("int")).alias("rare"))
+    keyed = placed.select("*", F.explode("rare").alias("gram"))
     a, b = keyed.alias("a"), keyed.alias("b")
     total = F.col("a.size") + F.col("b.size")
     fits = (F.col("a.pos") > F.col("b.pos")) & (F.least("a.size", "b.size") * 2 >= F.lit(similarity) * total)
-    met = a.join(b, (F.col("a.gram") == F.col("b.gram")) & fits).select(F.col("a.key").alias("x"), F.col("b.key").alias("y"), F.col("a.pos").alias("later"), F.col("b.pos").alias("earlier")).distinct()
-    common = F.length(F.concat_ws("", F.array_intersect(F.split("x", ""), F.split("y", ""))))
+    enough = F.size(F.array_intersect("a.grams", "b.grams")) >= F.floor(F.lit(per_char) * total - 1) - F.least("a.twice", "b.twice")
+    first = F.get(F.array_intersect("a.rare", "b.rare"), F.lit(0)) == F.col("a.gram")
+    met = a.join(b, (F.col("a.gram") == F.col("b.gram")) & fits & enough & first).select(F.col("a.key").alias("x"), F.col("b.key").alias("y"), F.col("a.pos").alias("later"), F.col("b.pos").alias("earlier"))
 
     @F.pandas_udf("boolean")
     def alike(x: pd.Series, y: pd.Series) -> pd.Series:
@@ -97,7 +103,7 @@ def similar_names(names: DataFrame, similarity: float = SIMILARITY) -> DataFrame
 
         return pd.Series([test(p, q) for p, q in zip(x, y)])
 
-    return met.filter(common > 0).filter(alike("x", "y")).select("later", "earlier")
+    return met.filter(alike("x", "y")).select("later", "earlier")
 
 
 def name_leaders(names: DataFrame, similarity: float = SIMILARITY) -> DataFrame:

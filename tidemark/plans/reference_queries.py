@@ -330,9 +330,8 @@ f AS (SELECT id, pos, page, coalesce(v, '') <> '' AS given, coalesce(regexp_matc
 g AS (SELECT *, CASE WHEN NOT given THEN 3 WHEN lit THEN 0 WHEN eq THEN 1 WHEN m THEN 2 ELSE 3 END AS tier, CASE WHEN given AND m THEN 0 ELSE 1 END AS o FROM f)
 SELECT id, page AS page_number, tier < 2 AS page_matched FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY tier, o, pos) AS r FROM g) WHERE r = 1""")
 def find_page(spark: SparkSession, folder: str) -> DataFrame:
-    contexts = table(spark, folder, "paper_ocr_context").select("paper_id", "context")
-    rows = table(spark, folder, "extractions").select("id", "paper_id", "data.value", "data.attribute", "data.units").join(contexts, "paper_id")
-    return find_pages(rows, "id")
+    rows = table(spark, folder, "extractions").select("id", "paper_id", "data.value", "data.attribute", "data.units")
+    return find_pages(rows, table(spark, folder, "paper_ocr_context"), "id", "paper_id")
 
 
 # --- votes and reports

@@ -84,14 +84,20 @@ def similar_names(names: DataFrame, similarity: float = SIMILARITY) -> DataFrame
     base = base.withColumn("twice", F.greatest(F.col("size") - 1 - F.size("grams"), F.lit(0)))
     rarity = base.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count("*").alias("df"))
     ranked = base.select("pos", F.explode("grams").alias("gram")).join(rarity, "gram").groupBy("pos").agg(F.transform(F.sort_array(F.collect_list(F.struct("df", "gram"))), lambda g: g["gram"]).alias("rare"))
+    # the bigrams as 256 bits: what two names share is counted without touching strings; bits lost to equal places count as shared
+    place = lambda g: F.pmod(F.xxhash64(g), F.lit(256)).cast("int")
+    word = lambda w: F.aggregate("grams", F.lit(0).cast("bigint"), lambda v, g: F.when(F.floor(place(g) / 64) == w, v.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), place(g) % 64))).otherwise(v))
+    base = base.select("*", *[word(w).alias(f"bits{w}") for w in range(4)])
+    base = base.withColumn("lost", F.size("grams") - sum((F.bit_count(f"bits{w}") for w in range(1, 4)), F.bit_count("bits0")))
     needed = F.floor(per_char * (1 + shorter) * F.col("size") - 1 - F.col("twice"))
     keep = F.size("rare") - F.greatest(F.least(needed, F.size("rare")), F.lit(1)) + 1
-    placed = base.join(ranked, "pos").select("key", "pos", "size", "twice", "grams", F.slice("rare", F.lit(1), keep.cast("int")).alias("rare"))
+    placed = base.join(ranked, "pos").select("key", "pos", "size", "twice", "lost", *[f"bits{w}" for w in range(4)], F.slice("rare", F.lit(1), keep.cast("int")).alias("rare"))
     keyed = placed.select("*", F.explode("rare").alias("gram"))
     a, b = keyed.alias("a"), keyed.alias("b")
     total = F.col("a.size") + F.col("b.size")
     fits = (F.col("a.pos") > F.col("b.pos")) & (F.least("a.size", "b.size") * 2 >= F.lit(similarity) * total)
-    enough = F.size(F.array_intersect("a.grams", "b.grams")) >= F.floor(F.lit(per_char) * total - 1) - F.least("a.twice", "b.twice")
+    both = [F.bit_count(F.col(f"a.bits{w}").bitwiseAND(F.col(f"b.bits{w}"))) for w in range(4)]
+    enough = sum(both[1:], both[0]) + F.least("a.lost", "b.lost") >= F.floor(F.lit(per_char) * total - 1) - F.least("a.twice", "b.twice")
     first = F.get(F.array_intersect("a.rare", "b.rare"), F.lit(0)) == F.col("a.gram")
     met = a.join(b, (F.col("a.gram") == F.col("b.gram")) & fits & enough & first).select(F.col("a.key").alias("x"), F.col("b.key").alias("y"), F.col("a.pos").alias("later"), F.col("b.pos").alias("earlier"))
 

@@ -8,7 +8,6 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tidemark.functions.geo import EARTH_RADIUS_KM, haversine_km
 from tidemark.functions.text import entity_key, filled

@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.sampling import hash_sample
+
 #: Words in a row that make a leak.
 MIN_WORDS = 15
 #: Windows of 24 words every 6 (documents) or 8 (items): a run of 15 words lies whole in one window of either kind.
@@ -109,7 +111,7 @@ def latent_space(documents: DataFrame, item_rows: list, idf: np.ndarray) -> np.n
     on FEATURES and RANK alone. Documents enter by a bounded sample of smallest hashes, item passages all.
     """
     spark = documents.sparkSession
-    sample = documents.filter("text is not null").select("text").orderBy(F.xxhash64("text"), "text").limit(FIT_DOCUMENTS).repartition(4)
+    sample = hash_sample(documents.filter("text is not null").select("text"), FIT_DOCUMENTS, "text").select("text").repartition(4)
     weights = spark.sparkContext.broadcast(idf)
     width = RANK + EXTRA
     basis = np.random.default_rng(17).standard_normal((FEATURES, width)).astype(np.float32)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.components import connected_components
 from tidemark.operators.entities import name_leaders, point_clusters, resolve_entities
 from tidemark.operators.numbering import first_seen_ids, numbered
+from tidemark.operators.sampling import hash_sample
 
 DDL = "row_key bigint, name string, latitude double, longitude double, entity_id string"
 
@@ -93,3 +94,11 @@ def test_numbering(spark):
     assert [(r.id, r.n) for r in numbered(frame, "n", "id").orderBy("id").collect()] == [(i, i) for i in range(1, 6)]
     assert sorted((str(r.k), r.n) for r in first_seen_ids(frame, ["k"], "id", "n").collect()) == [("None", 1), ("a", 2), ("b", 3)]
     assert numbered(frame.limit(0), "n", "id").count() == 0
+
+
+def test_hash_sample(spark):
+    drawn = [r.id for r in hash_sample(spark.range(20_000), 1000, "id").collect()]
+    assert 750 <= len(drawn) <= 1000 and sorted(drawn) == sorted(r.id for r in hash_sample(spark.range(20_000).repartition(7), 1000, "id").collect())
+    assert hash_sample(spark.range(5), 10, "id").count() == 5 and hash_sample(spark.range(0), 10, "id").count() == 0
+    copies = spark.range(5000).select(F.lit(1).alias("id"))
+    assert hash_sample(copies, 100, "id").count() <= 100

@@ -11,11 +11,11 @@ _SLOTS = 1 << 40
 def hash_sample(rows: DataFrame, limit: int, *keys: str) -> DataFrame:
     """All rows if they are ``limit`` at most, else those whose keys hash below the share that gives about that many.
 
-    Adds the column ``draw`` to sort by. The expected number is a little under ``limit``, so that only a chance of far
-    less than one in a thousand exceeds it, and then by few rows.
+    Adds the column ``draw`` to sort by. The expected number is a little under ``limit``, so that the final limit, which
+    holds the bound in any case, hardly ever drops a row. The keys should tell rows apart.
     """
     n = rows.count()
     drawn = rows.withColumn("draw", F.pmod(F.xxhash64(*keys), F.lit(_SLOTS)))
     if n <= limit:
         return drawn
-    return drawn.filter(F.col("draw") < int(_SLOTS * max(limit - 4 * limit**0.5, 1) / n))
+    return drawn.filter(F.col("draw") < int(_SLOTS * max(limit - 4 * limit**0.5, 1) / n)).limit(limit)

@@ -111,7 +111,7 @@ def latent_space(documents: DataFrame, item_rows: list, idf: np.ndarray) -> np.n
     on FEATURES and RANK alone. Documents enter by a bounded sample of smallest hashes, item passages all.
     """
     spark = documents.sparkSession
-    sample = hash_sample(documents.filter("text is not null").select("text"), FIT_DOCUMENTS, "text").select("text").repartition(4)
+    sample = hash_sample(documents.filter("text is not null").select("doc_id", "text"), FIT_DOCUMENTS, "doc_id", "text").select("text").repartition(4)
     weights = spark.sparkContext.broadcast(idf)
     width = RANK + EXTRA
     basis = np.random.default_rng(17).standard_normal((FEATURES, width)).astype(np.float32)

@@ -43,4 +43,4 @@ def test_query(spark, views, name):
 
 
 def test_entry(spark):
-    assert entry.entry(spark).count() >= 0
+    assert entry.entry(spark).count() > 0

@@ -43,7 +43,8 @@ def list_papers(fact: DataFrame, entity: DataFrame, paper: DataFrame, page: int
     found = star(fact, entity, paper).filter(matching(**filters))
     per_paper = found.groupBy("paper_id").agg(F.count("*").alias("extraction_count"), F.max("source_extraction_id").alias("latest"))
     rows = per_paper.orderBy(F.desc("latest")).offset((max(page, 1) - 1) * size).limit(size)
-    return rows.join(paper, "paper_id").select(F.col("paper_id").alias("id"), "title", "authors", "publication_date", "doi", "extraction_count")
+    shown = rows.join(paper, "paper_id").orderBy(F.desc("latest"))
+    return shown.select(F.col("paper_id").alias("id"), "title", "authors", "publication_date", "doi", "extraction_count")
 
 
 def count_papers(fact: DataFrame, entity: DataFrame, paper: DataFrame, size: int = PAGE_SIZE, **filters) -> DataFrame:

@@ -34,6 +34,11 @@ def test_text_functions(spark):
     assert one(spark, t.voter_hash, ip=None, agent="z") == one(spark, t.voter_hash, ip="unknown", agent="z") and len(one(spark, t.prompt_hash, x="p")) == 12
 
 
+def test_json_keys(spark):
+    assert one(spark, lambda x: t.without_key(x, "context"), x='{"a": "1", "context": "long", "b": null}') == '{"a":"1","b":null}'
+    assert one(spark, lambda x: t.without_key(x, "context"), x='{"a": "1"}') == '{"a": "1"}' and one(spark, lambda x: t.without_key(x, "context"), x=None) is None
+
+
 PAGES = '<page number="0">\n\nnitrate was low\n\n</page>\n<page number="1">\n\nvalue 28.4 and 1,234.50\n\n</page>\n<page number="2">\n\nsalinity 28.4 psu, 125.3\n\n</page>'
 
 

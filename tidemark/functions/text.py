@@ -163,3 +163,14 @@ def clipped(text: Column, limit: int) -> Column:
     """The text on one line, cut with an ellipsis beyond ``limit`` characters."""
     line = F.replace(text, F.lit("\n"), F.lit(" "))
     return F.when(F.length(line) > limit, F.concat(F.substring(line, 1, limit), F.lit("…"))).otherwise(line)
+
+
+def has_key(document: Column, key: str) -> Column:
+    """Whether a JSON object in text has the key; null for a null text or one that is no object."""
+    return F.array_contains(F.json_object_keys(document), key)
+
+
+def without_key(document: Column, key: str) -> Column:
+    """A flat JSON object in text without the key."""
+    fields = F.from_json(document, "map<string, string>")
+    return F.when(has_key(document, key), F.to_json(F.map_filter(fields, lambda k, v: k != key), {"ignoreNullFields": "false"})).otherwise(document)

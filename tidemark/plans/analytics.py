@@ -72,6 +72,24 @@ def search_titles(paper: DataFrame, fact: DataFrame, query: str, limit: int, lea
     return found.orderBy(*order).limit(limit).select(F.col("paper_id").alias("id"), "title", "authors", "publication_date", "doi")
 
 
+def suggestions(found: DataFrame) -> DataFrame:
+    """(json) of found titles as a search box takes them: id, title, authors, year."""
+    return found.select(F.to_json(F.struct("id", "title", "authors", F.year("publication_date").alias("year"))).alias("json"))
+
+
+def show_papers(papers: DataFrame, ids: list[int] | None = None, statuses: list[str] | None = None, accessible: bool | None = None, limit: int = 20) -> tuple[DataFrame, int]:
+    """(rows, total) of the papers that pass the given filters, the last discovered first."""
+    tests = [F.lit(True)]
+    if ids:
+        tests.append(F.col("id").isin(ids))
+    if statuses:
+        tests.append(F.col("status").isin(statuses))
+    if accessible is not None:
+        tests.append((F.coalesce("oa_pdf_url", F.lit("")) != "") == accessible)
+    found = papers.filter(reduce(lambda x, y: x & y, tests))
+    return found.orderBy(F.desc_nulls_first("discovered_at"), "id").limit(limit), found.count()
+
+
 def map_entities(fact: DataFrame, entity: DataFrame, paper: DataFrame, **filters) -> DataFrame:
     """Entities with coordinates and the number of papers with a matching fact on them."""
     placed = entity.filter("latitude is not null and longitude is not null")

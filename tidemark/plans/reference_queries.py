@@ -312,6 +312,12 @@ def abstract_from_index(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "heldout_items").select("item_id", t.text_from_index(index).alias("text"))
 
 
+@query("SELECT id, json_exists(provenance, '$.entity_id') AS has_entity, json_exists(provenance, '$.context') AS has_context FROM extractions")
+def provenance_keys(spark: SparkSession, folder: str) -> DataFrame:
+    p = F.col("provenance")
+    return table(spark, folder, "extractions").select("id", t.has_key(p, "entity_id").alias("has_entity"), t.has_key(p, "context").alias("has_context"))
+
+
 # --- pages
 
 
@@ -348,6 +354,15 @@ def judgements_of_voted(spark: SparkSession, folder: str) -> DataFrame:
     return a.judgements_of(table(spark, folder, "extractions"), table(spark, folder, "votes").select(F.col("extraction_id").alias("id")))
 
 
+@query("""SELECT x.id, len(list(e.id) FILTER (WHERE e.id IS NOT NULL)) AS n, MIN(e.id) AS first FROM papers x LEFT JOIN extractions e ON e.paper_id = x.id GROUP BY x.id""")
+def papers_with_extractions(spark: SparkSession, folder: str) -> DataFrame:
+    papers = table(spark, folder, "papers")
+    asked = papers.select("id", F.col("id").alias("pos"))
+    rows = a.papers_with_extractions(papers, table(spark, folder, "extractions"), asked)
+    n = F.coalesce(F.size("extractions"), F.lit(0))
+    return rows.select("id", F.when(n > 0, n).cast("bigint").alias("n"), F.get("extractions", F.lit(0))["extraction_id"].alias("first"))
+
+
 @query("SELECT status, COUNT(*) AS n FROM papers GROUP BY status")
 def count_by_status(spark: SparkSession, folder: str) -> DataFrame:
     return a.status_counts(table(spark, folder, "papers"))

@@ -164,3 +164,11 @@ def test_scans(spark):
     words = joined.split()
     assert sum(any(c.isdigit() for c in w) for w in words) < 0.01 * len(words) and sum(w in set(WORDS) for w in words) > 0.98 * len(words)
     assert scans.found_noise(frame.limit(0)).count() == 0 and scans.repaired_text(frame.filter("paper_id = 900")).count() == 0
+
+
+def test_confusions_that_share_no_gram_are_candidates_however_often_they_occur(spark):
+    pairs = [("forclng", 60, "forcing", 20_000), ("earller", 5, "earlier", 1600), ("drlfted", 70, "drifted", 9000), ("prlmary", 51, "primary", 9000)]
+    assert not any(set(scans._grams(a)) & set(scans._grams(b)) for a, _, b, _ in pairs)
+    words = spark.createDataFrame([x for a, n, b, m in pairs for x in ((a, n, n), (b, m, m))], "word string, n bigint, n_low bigint")
+    met = scans.candidate_words(words, spark.sparkContext.broadcast(scans.letter_model(words))).collect()
+    assert {(r.word, r.n, r.true, r.n_true) for r in met} >= set(pairs) and len(met) == len({(r.word, r.true) for r in met})

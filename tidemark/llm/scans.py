@@ -467,27 +467,33 @@ def candidate_words(words: DataFrame, letters) -> DataFrame:
     """(word, n, low, true, n_true, low_true): retrieval of corrections through joins on q-grams.
 
     A word meets more frequent words of nearly its length with which it shares a q-gram; pairs further apart than two
-    edits fall away at once. Each word also meets the most usual of the words that one confusion leads back to.
+    edits fall away at once. A confusion of a pair of letters may change the shape so that no q-gram is left: each word
+    also meets every more frequent word that one listed confusion leads back to, however often it occurs itself, and the
+    most usual of all that a confusion leads back to, which the vocabulary may lack.
     """
 
     @F.pandas_udf("array<string>")
     def grams(word: pd.Series) -> pd.Series:
         return word.map(_grams)
 
-    @F.pandas_udf("string")
-    def usual(word: pd.Series) -> pd.Series:
-        model = letters.value
-        return word.map(lambda w: max(variants(w), key=lambda v: (sum(model.scores(v)), v), default=None))
+    @F.pandas_udf("array<struct<true:string,usual:boolean>>")
+    def sources(word: pd.Series) -> pd.Series:
+        def of(w: str) -> list[dict]:
+            options = variants(w)
+            best = max(options, key=lambda v: (sum(letters.value.scores(v)), v), default=None)
+            return [{"true": v, "usual": v == best} for v in options]
+
+        return word.map(of)
 
     plain = words.filter(r"word not like '%-%' and length(word) between 3 and 40 and word rlike '[\\p{L}].*[\\p{L}]'").select("word", "n", (F.col("n_low") / F.col("n")).alias("low"))
     keyed = plain.withColumn("gram", F.explode(grams("word"))).withColumn("size", F.length("word"))
     right = keyed.filter("n >= 5").select("gram", F.col("word").alias("true"), F.col("n").alias("n_true"), F.col("low").alias("low_true"), F.col("size").alias("size_true"))
     near = F.abs(F.col("size") - F.col("size_true")) <= 1
     met = keyed.join(right, "gram").filter(near & (F.col("n_true") >= 4 * F.col("n")) & (F.col("word") != F.col("true")))
-    met = met.filter(F.levenshtein("word", "true", 2) >= 0).select("word", "n", "low", "true", "n_true", "low_true").distinct()
+    met = met.filter(F.levenshtein("word", "true", 2) >= 0).select("word", "n", "low", "true", "n_true", "low_true")
     other = words.select(F.col("word").alias("true"), F.col("n").alias("n_true"), (F.col("n_low") / F.col("n")).alias("low_true"))
-    guessed = plain.filter("n <= 50").withColumn("true", usual("word")).filter("true is not null").join(other, "true", "left")
-    return met.unionByName(guessed.select("word", "n", "low", "true", F.coalesce("n_true", F.lit(0)).alias("n_true"), F.coalesce("low_true", "low").alias("low_true")))
+    led = plain.select("word", "n", "low", F.inline(sources("word"))).join(other, "true", "left").filter("usual or n_true >= 5 and n_true >= 4 * n")
+    return met.unionByName(led.select("word", "n", "low", "true", F.coalesce("n_true", F.lit(0)).alias("n_true"), F.coalesce("low_true", "low").alias("low_true"))).distinct()
 
 
 def fit_words(words: DataFrame, letters: Letters) -> BoostedTrees:

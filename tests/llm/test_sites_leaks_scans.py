@@ -172,3 +172,14 @@ def test_confusions_that_share_no_gram_are_candidates_however_often_they_occur(s
     words = spark.createDataFrame([x for a, n, b, m in pairs for x in ((a, n, n), (b, m, m))], "word string, n bigint, n_low bigint")
     met = scans.candidate_words(words, spark.sparkContext.broadcast(scans.letter_model(words))).collect()
     assert {(r.word, r.n, r.true, r.n_true) for r in met} >= set(pairs) and len(met) == len({(r.word, r.true) for r in met})
+
+
+def test_misspelt_sites_that_share_no_place(spark):
+    same = "Orlfitenard Bay|Selistisar Inlet|Varnadekie Reef|Rasminisess Flat|Zelsofenard Lagoon|Yorsaverike Creek|Pelemdraave Pond|Biravlinemi Marsh".split("|")
+    near = [("Falgamunorm Pond", "Falgamunorrm Tidal Pond"), ("Peldolokade Crk", "Pedolokade Creek"), ("Mormirelnch Inlet", "Mormirelach Inlet"), ("Elmlunoriss Marsh", "Elmounoriss Marsh")]
+    pairs = [(n, n) for n in same] + near
+    left = [(i, a, 10.0 + i, 20.0, None, "c", "c") if i % 2 else (i, a, None, None, f"Lake{i} Estuary", "c", "c") for i, (a, _) in enumerate(pairs)]
+    right = [(1000 + i, b, None, None, f"Lake{i} Estuary", "c", "c") if i % 2 else (1000 + i, b, 10.0 + i, 20.0, None, "c", "c") for i, (_, b) in enumerate(pairs)]
+    matches = sites.match_sites(spark.createDataFrame(left, ENTITIES), spark.createDataFrame(right, REGISTRY))
+    assert sorted(tuple(r) for r in sites.same_sites(matches).collect()) == [(i, 1000 + i) for i in range(len(pairs))]
+    assert matches.count() == matches.select("entity_id", "registry_id").distinct().count()

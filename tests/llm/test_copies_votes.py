@@ -94,3 +94,14 @@ def test_krippendorff(spark):
     expected = 2 * ones * (n - ones) / (n - 1)
     row = consensus.krippendorff(spark.createDataFrame(rows, VOTES)).first()
     assert (row.n_items, row.n_votes) == (3, 7) and math.isclose(row.alpha, 1 - observed / expected)
+
+
+def test_unknown_voters_keep_their_weight(spark):
+    _, rows = simulated()
+    day = datetime(2024, 1, 1)
+    known = [(k, i, v, h, day, "c") for k, (i, v, h) in enumerate(rows)]
+    unknown = [(20_000, 900, False, None, day, "c"), (20_001, 901, True, None, day, "c"), *((20_010 + k, 902, k == 0, None, day, "c") for k in range(3))]
+    got = {r.extraction_id: r for r in consensus.item_consensus(spark.createDataFrame(known + unknown, VOTES)).collect()}
+    assert [got[i].label for i in (900, 901, 902)] == [False, True, False]
+    prior = [math.log(got[i].probability / (1 - got[i].probability)) for i in (900, 901, 902)]
+    assert prior[1] - prior[0] == pytest.approx(2 * (1 + 1 / 2 + 1 / 3)) and prior[0] == pytest.approx(prior[2])

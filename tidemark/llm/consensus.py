@@ -11,6 +11,8 @@ from tidemark.session import checkpointed, shuffle_width
 #: Dirichlet priors: of the two classes, and of a voter's row (said right, said wrong).
 CLASS_PRIOR = (1.0, 1.0)
 RIGHT_PRIOR, WRONG_PRIOR = 4.0, 1.0
+#: Expected log odds of a vote under the prior rows: digamma(RIGHT_PRIOR) - digamma(WRONG_PRIOR), both whole numbers.
+UNKNOWN_GAIN = sum(1 / k for k in range(int(WRONG_PRIOR), int(RIGHT_PRIOR)))
 ROUNDS = 12
 MIN_VOTES = 20
 #: A voter depends on the label if P(yes | true) - P(yes | false) is above this.
@@ -43,7 +45,10 @@ def last_votes(votes: DataFrame) -> DataFrame:
 
 
 def _posterior(placed: DataFrame, voters: DataFrame | None, prior: tuple[float, float]) -> DataFrame:
-    """(item, q, ...) with q = P(label is yes), from every vote's expected log likelihoods under its voter's row."""
+    """(item, q, ...) with q = P(label is yes), from every vote's expected log likelihoods under its voter's row.
+
+    Nothing can be learned about an unknown voter: their votes have the prior's expectations in every round.
+    """
     if voters is None:
         scored = placed.withColumn("gain", F.col("vote") * 2 - 1)
         base = F.lit(0.0)
@@ -51,7 +56,7 @@ def _posterior(placed: DataFrame, voters: DataFrame | None, prior: tuple[float,
         rated = attach_group(placed, voters, ["voter"], "n", "left")
         yes = F.col("lt1") - F.col("lf1")
         no = F.col("lt0") - F.col("lf0")
-        scored = rated.withColumn("gain", F.coalesce(F.when(F.col("vote") > 0, yes).otherwise(no), F.lit(0.0)))
+        scored = rated.withColumn("gain", F.coalesce(F.when(F.col("vote") > 0, yes).otherwise(no), (F.col("vote") * 2 - 1) * UNKNOWN_GAIN))
         base = F.lit(float(prior[0] - prior[1]))
     logit = base + F.sum("gain")
     return scored.groupBy("item").agg(
@@ -81,7 +86,8 @@ def fit_votes(votes: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFr
     """(votes that count, items with q, voters with their posterior rows) after ``rounds`` of coordinate ascent.
 
     votes: id, extraction_id, vote, voter_hash, created_at. The votes are placed by item once; a round then moves only
-    the voters' small rows. The first posterior is the plain majority; unknown voters count there and not after.
+    the voters' small rows. The first posterior is the plain majority; in later rounds unknown voters' votes weigh as
+    the prior says. They have no row.
     """
     placed = checkpointed(last_votes(votes).repartition(shuffle_width(votes.sparkSession), "item"))
     voters, prior = None, CLASS_PRIOR
@@ -105,7 +111,7 @@ def _log_odds(share: float) -> tuple[float, float]:
 def item_consensus(votes: DataFrame) -> DataFrame:
     """(extraction_id, label, probability, n_votes, n_yes, agreement): one row per item with a vote.
 
-    ``label`` is null where the model is undecided; ``agreement`` is the item's share of agreeing pairs of votes, null
+    ``label`` is null where the model is undecided; a vote of an unknown voter weighs as the prior says. ``agreement`` is the item's share of agreeing pairs of votes, null
     for a single vote. A null vote or item doesn't count; of repeated or changed votes the last does.
     """
     _, items, _ = fit_votes(votes)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
+import math
+from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,13 +17,15 @@ from tidemark.functions.boosting import BoostedTrees
 from tidemark.functions.unit_algebra import conversion, parse_unit, read_value, unit_in_text
 from tidemark.operators.sampling import hash_sample
 from tidemark.operators.skew import attach_group, bounded_broadcast
+from tidemark.session import checkpointed
 
 #: At most this many rows with a stated unit train the classifier; all rows are converted and all counts cover all rows.
 TRAINING_ROWS = 12_000
 #: A predicted unit of at least this calibrated probability is applied; others go to review.
 CONFIDENT = 0.9
-#: The classifier chooses among the units stated most for an attribute, this many at most.
-UNITS_PER_ATTRIBUTE = 16
+#: The class of all units that have no fixed factor to an attribute's canonical one.
+OTHER = "other"
+#: Sources and categories are counted in this many groups of hashes.
 _GROUPS = 64
 
 READING = T.StructType(
@@ -55,14 +59,20 @@ def _read(canonical: str | None, value: str | None, units: str | None, remark: s
     return (shape, point, low, high, None, None, None, None)
 
 
-@F.pandas_udf(READING)
-def _readings(canonical: pd.Series, value: pd.Series, units: pd.Series, remark: pd.Series) -> pd.DataFrame:
-    rows = [_read(*x) for x in zip(*(c.astype(object).where(c.notna(), None) for c in (canonical, value, units, remark)))]
-    return pd.DataFrame(rows, columns=READING.names)
+@F.arrow_udf(READING)
+def _readings(canonical: pa.Array, value: pa.Array, units: pa.Array, remark: pa.Array) -> pa.Array:
+    columns = [c.to_pylist() for c in (canonical, value, units, remark)]
+    rows = [_read(*x) for x in zip(*columns)]
+    kinds = [pa.string(), pa.float64(), pa.float64(), pa.float64(), pa.string(), pa.string(), pa.string(), pa.float64()]
+    return pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * len(kinds), kinds)], READING.names)
 
 
 def readings(extractions: DataFrame, catalogue: DataFrame) -> DataFrame:
-    """Every extraction with its catalogue attribute, the numbers its value states and the unit stated with them."""
+    """Every extraction with its catalogue attribute, the numbers its value states and the unit stated with them.
+
+    ``unit_class`` names what a unit does to a number: its factor to the canonical unit, or OTHER for a unit of another
+    kind; null if no unit is stated.
+    """
     lookup = bounded_broadcast(alias_lookup(catalogue), ALIAS_BROADCAST_ROWS)
     flat = extractions.select(
         F.col("id").alias("extraction_id"), "paper_id",
@@ -74,7 +84,9 @@ def readings(extractions: DataFrame, catalogue: DataFrame) -> DataFrame:
     return (
         flat.join(lookup, "attribute_key", "left")
         .withColumn("reading", _readings("canonical_units", "value", "units", "remark"))
-        .select("extraction_id", "paper_id", "attribute", "canonical_units", "value", "source_group", "category_group", "reading.*")
+        .select("extraction_id", "paper_id", "attribute", "canonical_units", "source_group", "category_group", "reading.*")
+        .withColumn("unit_class", F.when(F.col("unit_key").isNotNull(), F.coalesce(F.col("factor").cast("string"), F.lit(OTHER))))
+        .drop("unit_key")
     )
 
 
@@ -84,7 +96,7 @@ def _magnitude(point: pd.Series, low: pd.Series, high: pd.Series) -> np.ndarray:
 
 
 class UnitModel:
-    """Which unit a quantity without one is in: candidates are the units stated for its attribute."""
+    """Which unit a quantity without one is in: candidates are all unit classes stated for its attribute."""
 
     def __init__(self, candidates: dict, trees: BoostedTrees):
         self.candidates, self.trees = candidates, trees
@@ -106,41 +118,55 @@ class UnitModel:
         total = np.bincount(owner, p, len(columns[0])) if len(owner) else np.zeros(len(columns[0]))
         best: list[tuple[dict | None, float]] = [(None, 0.0)] * len(columns[0])
         for i, unit, q in zip(owner, chosen, p):
-            share = q / max(total[i], q, 1e-9) * min(1.0, max(q, total[i]))
+            share = q / max(total[i], 1e-9)  # a unit is one of its attribute's classes
             if share > best[i][1]:
                 best[i] = (unit, float(share))
         return best
 
 
-def fit_units(read: DataFrame, neighbours: DataFrame) -> UnitModel:
-    """Class statistics over all rows with a stated unit; the trees over a sample bounded by TRAINING_ROWS."""
-    stated = read.filter("unit_key is not null and attribute is not null")
+def class_statistics(stated: DataFrame) -> dict[str, list[dict]]:
+    """The units stated for each attribute with their magnitudes and shares, over all rows with a stated unit.
+
+    One pass counts (attribute, unit class, source, category); what comes to the driver is one row per attribute, class
+    and group. An attribute's classes are the factors that the unit grammar can build for its dimension and one for all
+    other units, and there are _GROUPS groups of either kind, so this depends on the catalogue and not on the rows.
+    """
     size = F.log10(F.greatest(F.abs(F.coalesce("point", (F.col("low") + F.col("high")) / 2, "low", "high")), F.lit(1e-12)))
-    classes = stated.groupBy("attribute", "unit_key").agg(
-        F.count("*").alias("n"), F.avg(size).alias("mean"), F.stddev_pop(size).alias("spread"), F.first("factor", True).alias("factor"), F.min("unit_text").alias("text")
+    cells = stated.groupBy("attribute", "unit_class", "source_group", "category_group").agg(
+        F.count("*").alias("n"), F.sum(size).alias("s"), F.sum(size * size).alias("q"), F.max("factor").alias("factor"), F.min("unit_text").alias("text")
     )
-    ranked = classes.groupBy("attribute").agg(F.slice(F.sort_array(F.collect_list(F.struct("n", "unit_key", "mean", "spread", "factor", "text")), False), 1, UNITS_PER_ATTRIBUTE).alias("units"), F.sum("n").alias("total")).collect()
+    group = lambda kind, value: F.struct(F.lit(kind).alias("kind"), value.cast("bigint").alias("group"))
+    told = cells.withColumn("g", F.explode(F.array(group("all", F.lit(0)), group("source", F.col("source_group")), group("category", F.col("category_group")))))
+    rows = told.groupBy("attribute", "unit_class", "g").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q"), F.max("factor").alias("factor"), F.min("text").alias("text")).collect()
+    total: Counter = Counter()
     shares: dict = defaultdict(dict)
-    for group in ("source_group", "category_group"):
-        for r in stated.groupBy("attribute", "unit_key", group).count().collect():
-            shares[group, r.attribute, r[group]][r.unit_key] = r["count"]
-    candidates = {}
-    for r in ranked:
-        candidates[r.attribute] = [
-            {"key": u.unit_key, "text": u.text, "factor": u.factor, "mean": u.mean, "spread": max(u.spread or 0.0, 0.15), "share": u.n / r.total,
-             "by_source": {g: (d.get(u.unit_key, 0) + u.n / r.total) / (sum(d.values()) + 1) for g in range(_GROUPS) if (d := shares.get(("source_group", r.attribute, g)))},
-             "by_category": {g: (d.get(u.unit_key, 0) + u.n / r.total) / (sum(d.values()) + 1) for g in range(_GROUPS) if (d := shares.get(("category_group", r.attribute, g)))}}
-            for u in r.units
-        ]
-    sample = attach_group(
-        stated.select("extraction_id", "paper_id", "attribute", "unit_key", "point", "low", "high", "source_group", "category_group").transform(hash_sample, TRAINING_ROWS, "extraction_id"),
-        neighbours, ["paper_id", "attribute"], "n", "left",
-    ).toPandas().sort_values(["draw", "extraction_id"])
-    model = UnitModel(candidates, BoostedTrees(trees=50, depth=3))
-    # a row must not be its own neighbour: the neighbour's unit is kept only if it has other rows
-    near = [None if n is None or n <= 1 and u == k else u for u, n, k in zip(sample["near_key"].where(sample["near_key"].notna(), None), sample["near_n"].fillna(0), sample["unit_key"])]
-    x, owner, chosen = model.features(sample["attribute"], _magnitude(sample["point"], sample["low"], sample["high"]), sample["source_group"], sample["category_group"], near)
-    keys = list(sample["unit_key"])
+    for r in rows:
+        total[r.attribute] += r.n if r.g.kind == "all" else 0
+        if r.g.kind != "all":
+            shares[r.attribute, r.g.kind, r.g.group][r.unit_class] = r.n
+    candidates: dict = defaultdict(list)
+    for r in sorted((r for r in rows if r.g.kind == "all"), key=lambda r: (-r.n, r.unit_class)):
+        share = r.n / total[r.attribute]
+
+        def within(kind: str) -> dict:
+            known = ((g, shares.get((r.attribute, kind, g))) for g in range(_GROUPS))
+            return {g: (d.get(r.unit_class, 0) + share) / (sum(d.values()) + 1) for g, d in known if d}
+
+        spread = math.sqrt(max(r.q / r.n - (r.s / r.n) ** 2, 0.0))
+        candidates[r.attribute].append(
+            {"key": r.unit_class, "text": None if r.unit_class == OTHER else r.text, "factor": r.factor, "mean": r.s / r.n, "spread": max(spread, 0.15), "share": share, "by_source": within("source"), "by_category": within("category")}
+        )
+    return dict(candidates)
+
+
+def fit_units(read: DataFrame, neighbours: DataFrame) -> UnitModel:
+    """Class statistics over all rows with a stated unit; the trees over a sample bounded by TRAINING_ROWS."""
+    stated = read.filter("unit_class is not null and attribute is not null")
+    sample = hash_sample(stated.select("extraction_id", "paper_id", "attribute", "unit_class", "point", "low", "high", "source_group", "category_group"), TRAINING_ROWS, "extraction_id")
+    model = UnitModel(class_statistics(stated), BoostedTrees(trees=50, depth=3))
+    rows = attach_group(sample, neighbours, ["paper_id", "attribute"], "n", "left").toPandas().sort_values(["draw", "extraction_id"])
+    x, owner, chosen = model.features(rows["attribute"], _magnitude(rows["point"], rows["low"], rows["high"]), rows["source_group"], rows["category_group"], others_unit(rows))
+    keys = list(rows["unit_class"])
     y = np.array([float(unit["key"] == keys[i]) for i, unit in zip(owner, chosen)])
     if len(y) < 10 or y.min() == y.max():
         model.candidates = {}
@@ -149,15 +175,33 @@ def fit_units(read: DataFrame, neighbours: DataFrame) -> UnitModel:
     return model
 
 
+def others_unit(rows: pd.DataFrame) -> list[str | None]:
+    """The unit of a row's neighbours. A row with a unit must not be its own neighbour: the unit counts only if other
+    rows state it too."""
+    near = rows["near_class"].where(rows["near_class"].notna(), None)
+    return [None if n is None or n <= 1 and u == k else u for u, n, k in zip(near, rows["near_n"].fillna(0), rows["unit_class"])]
+
+
 def neighbour_units(read: DataFrame) -> DataFrame:
-    """(paper_id, attribute, near_key, near_n, n): the unit that a paper's other rows of an attribute state most."""
-    counted = read.filter("attribute is not null").groupBy("paper_id", "attribute", "unit_key").agg(F.count("*").alias("c"))
-    best = F.max(F.when(F.col("unit_key").isNotNull(), F.struct("c", "unit_key")))
+    """(paper_id, attribute, near_class, near_n, n): the unit that a paper's other rows of an attribute state most."""
+    counted = read.filter("attribute is not null").groupBy("paper_id", "attribute", "unit_class").agg(F.count("*").alias("c"))
+    best = F.max(F.when(F.col("unit_class").isNotNull(), F.struct("c", "unit_class")))
     return counted.groupBy("paper_id", "attribute").agg(best.alias("best"), F.sum("c").alias("n")).select(
-        "paper_id", "attribute", F.col("best.unit_key").alias("near_key"), F.col("best.c").alias("near_n"), "n"
+        "paper_id", "attribute", F.col("best.unit_class").alias("near_class"), F.col("best.c").alias("near_n"), "n"
     )
 
 
+def _predictor(model):
+    schema = T.StructType([T.StructField("unit_class", T.StringType()), T.StructField("unit_text", T.StringType()), T.StructField("factor", T.DoubleType()), T.StructField("probability", T.DoubleType())])
+
+    @F.pandas_udf(schema)
+    def predicted(attribute: pd.Series, point: pd.Series, low: pd.Series, high: pd.Series, source: pd.Series, category: pd.Series, near: pd.Series) -> pd.DataFrame:
+        found = model.value.predict(attribute, _magnitude(point, low, high), source, category, near.astype(object).where(near.notna(), None))
+        return pd.DataFrame([(u["key"], u["text"], u["factor"], p) if u else (None, None, None, p) for u, p in found], columns=schema.names)
+
+    return predicted("attribute", "point", "low", "high", "source_group", "category_group", "near_class")
+
+
 def convert_quantities(extractions: DataFrame, catalogue: DataFrame) -> DataFrame:
     """One row per extraction: its quantity in canonical units, how the unit is known, and what became of it.
 
@@ -169,26 +213,19 @@ def convert_quantities(extractions: DataFrame, catalogue: DataFrame) -> DataFram
     of another kind; ``unreadable`` for a value without a number; ``unknown_attribute``. Null or empty values are
     unreadable, a null unit is a missing one, repeated rows each keep their row, and an empty table gives no rows.
     """
-    read = readings(extractions, catalogue)
+    read = checkpointed(readings(extractions, catalogue))  # the texts are parsed once; what follows reads the numbers
     stated_to = F.when(F.col("factor").isNotNull(), "converted").otherwise("inconvertible")
-    known = read.filter("attribute is null or shape is null or unit_key is not null").select(
-        "*", F.when(F.col("unit_key").isNotNull() & F.col("attribute").isNotNull(), F.lit(1.0)).alias("probability"),
+    known = read.filter("attribute is null or shape is null or unit_class is not null").select(
+        "*", F.when(F.col("unit_class").isNotNull() & F.col("attribute").isNotNull(), F.lit(1.0)).alias("probability"),
         F.when(F.col("attribute").isNull(), "unknown_attribute").when(F.col("shape").isNull(), "unreadable").otherwise(stated_to).alias("route"),
     )
-    missing = read.filter("attribute is not null and shape is not null and unit_key is null")
-    neighbours = neighbour_units(read)
+    missing = read.filter("attribute is not null and shape is not null and unit_class is null")
+    neighbours = checkpointed(neighbour_units(read))
     model = read.sparkSession.sparkContext.broadcast(fit_units(read, neighbours))
 
-    schema = T.StructType([T.StructField("unit_text", T.StringType()), T.StructField("factor", T.DoubleType()), T.StructField("probability", T.DoubleType())])
-
-    @F.pandas_udf(schema)
-    def predicted(attribute: pd.Series, point: pd.Series, low: pd.Series, high: pd.Series, source: pd.Series, category: pd.Series, near: pd.Series) -> pd.DataFrame:
-        found = model.value.predict(attribute, _magnitude(point, low, high), source, category, near.astype(object).where(near.notna(), None))
-        return pd.DataFrame([(u["text"], u["factor"], p) if u else (None, None, p) for u, p in found], columns=schema.names)
-
     guessed = (
         attach_group(missing, neighbours, ["paper_id", "attribute"], "n", "left")
-        .withColumn("guess", predicted("attribute", "point", "low", "high", "source_group", "category_group", "near_key"))
+        .withColumn("guess", _predictor(model))
         .select(
             *[c for c in missing.columns if c not in ("unit_text", "unit_from", "factor")],
             F.col("guess.unit_text").alias("unit_text"), F.lit("predicted").alias("unit_from"), F.col("guess.factor").alias("factor"), F.col("guess.probability").alias("probability"),
@@ -203,6 +240,28 @@ def convert_quantities(extractions: DataFrame, catalogue: DataFrame) -> DataFram
     )
 
 
+def masked_accuracy(extractions: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """(attribute, n, n_right, n_confident, n_confident_right, mean_probability): how well stated units are told when
+    they are hidden, over all rows with a stated unit that the classifier wasn't trained on.
+
+    A confident prediction is one that ``convert_quantities`` would apply. The difference of n_right / n and
+    mean_probability is the calibration error. A table whose rows all serve for training gives no rows.
+    """
+    read = checkpointed(readings(extractions, catalogue))
+    neighbours = checkpointed(neighbour_units(read))
+    model = read.sparkSession.sparkContext.broadcast(fit_units(read, neighbours))
+    stated = read.filter("unit_class is not null and attribute is not null")
+    hidden = stated.join(hash_sample(stated, TRAINING_ROWS, "extraction_id").select("extraction_id").distinct(), "extraction_id", "left_anti")
+    met = attach_group(hidden, neighbours, ["paper_id", "attribute"], "n", "left")
+    alone = (F.col("near_n") <= 1) & (F.col("near_class") == F.col("unit_class"))
+    told = met.withColumn("near_class", F.when(~F.coalesce(alone, F.lit(False)), F.col("near_class"))).withColumn("guess", _predictor(model))
+    right = F.coalesce(F.col("guess.unit_class") == F.col("unit_class"), F.lit(False)).cast("bigint")
+    sure = F.coalesce((F.col("guess.probability") >= CONFIDENT) & F.col("guess.factor").isNotNull(), F.lit(False)).cast("bigint")
+    return told.groupBy("attribute").agg(
+        F.count("*").alias("n"), F.sum(right).alias("n_right"), F.sum(sure).alias("n_confident"), F.sum(right * sure).alias("n_confident_right"), F.avg("guess.probability").alias("mean_probability")
+    )
+
+
 def changed_by_conversion(quantities: DataFrame) -> DataFrame:
     """(extraction_id) of quantities whose stated unit makes the number change on conversion."""
     nonzero = (F.coalesce("point", F.lit(0.0)) != 0) | (F.coalesce("low", F.lit(0.0)) != 0) | (F.coalesce("high", F.lit(0.0)) != 0)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import NUMBER, PLAIN, RAISED
-from tidemark.operators.quantities import changed_by_conversion, convert_quantities
+from tidemark.operators.quantities import changed_by_conversion, convert_quantities, masked_accuracy
 from tidemark.operators.wide import MISSING, contradictions, pivot_wide
 from tidemark.sources.tables import table
 
@@ -35,7 +35,11 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return changed_by_conversion(p6_quantities(spark, folder))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_wide, p1_found, p6_quantities, p6_found)}
+def p6_masked(spark: SparkSession, folder: str) -> DataFrame:
+    return masked_accuracy(table(spark, folder, "extractions"), table(spark, folder, "attribute_catalogue"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_wide, p1_found, p6_quantities, p6_found, p6_masked)}
 NUMBERS = (
     "chlorophyll", "co2_flux", "denitrification", "dissolved_inorganic_carbon", "dissolved_organic_carbon", "dissolved_oxygen", "gross_primary_production", "light_attenuation",
     "net_primary_production", "nitrate", "nitrification", "nitrogen_fixation", "particulate_organic_carbon", "pco2", "phosphate", "salinity", "sediment_oxygen_demand", "silicate",

@@ -27,28 +27,52 @@ def canonical(field: Column, raw: Column) -> Column:
     return F.nullif(F.when(field.isin(*NUMERIC_FIELDS), number).otherwise(text), F.lit(""))
 
 
+def parsed_records(results: DataFrame) -> DataFrame:
+    """(row, paper_id, result_id, version, pairs): each row of the table, parsed once, with a number of its own.
+
+    ``pairs`` are the structs (field, raw) of its object, those with a null value left out. The rows are checkpointed, so
+    the numbers stay the same if a task is repeated.
+    """
+    rows = results.select(F.col("paper_id").cast("bigint"), F.col("result_id").cast("bigint"), "data", F.xxhash64("data").alias("version"))
+    read = F.expr("try_variant_get(try_parse_json(data), '$', 'map<string,string>')")
+    whole = F.array(F.struct(F.lit("_unparsed").alias("field"), F.col("data").alias("raw")))
+    fields = F.transform(F.map_entries("object"), lambda e: F.struct(F.lower(F.trim(e["key"])).alias("field"), e["value"].alias("raw")))
+    pairs = F.when(F.col("object").isNotNull(), F.filter(fields, lambda e: e["raw"].isNotNull())).when(F.col("data").isNotNull(), whole)
+    return checkpointed(rows.withColumn("object", read).select(F.monotonically_increasing_id().alias("row"), "paper_id", "result_id", "version", pairs.alias("pairs")))
+
+
+def _pair_hash(seed: int) -> list[Column]:
+    """128 bits of a field-value pair; whether any two pairs share them is tested on the dictionary."""
+    return [F.xxhash64(F.lit(seed), "raw", "field").alias("h1"), F.xxhash64(F.lit(~seed), "field", "raw").alias("h2")]
+
+
+def dictionary(cells: DataFrame) -> tuple[DataFrame, int]:
+    """((h1, h2, n, pair_id), seed): every distinct pair canonicalised once, and one integer per canonical pair.
+
+    A pair of which nothing is left has no entry. Pairs are named by hashes, so that records travel without their texts;
+    the seed is one under which all pairs of these cells have different hashes.
+    """
+    seen = checkpointed(cells.groupBy("field", "raw").agg(F.count("*").alias("n")).withColumn("canonical", canonical(F.col("field"), F.col("raw"))).filter("canonical is not null"))
+    seed = 0
+    while seen.groupBy(*_pair_hash(seed)).count().filter("count > 1").limit(1).count():
+        seed += 1
+    ids = checkpointed(seen.select("field", "canonical").distinct().withColumn("pair_id", F.monotonically_increasing_id()))
+    return checkpointed(seen.join(ids, ["field", "canonical"]).select(*_pair_hash(seed), "n", "pair_id")), seed
+
+
 def encoded_records(results: DataFrame) -> DataFrame:
     """(paper_id, result_id, record): each record as a sorted array of integer ids of its field-value pairs.
 
-    The distinct raw pairs make the dictionary: each is canonicalised once, and each canonical pair gets one integer.
-    The dictionary is checkpointed, so its integers stay the same if a task is repeated. Records meet it through a join
-    in which the most frequent pairs are broadcast (their number is bounded), so none of them is a hot key.
+    Records meet the dictionary through a join in which the most frequent pairs are broadcast (their number is bounded),
+    so none of them is a hot key; what is shuffled is a row number and a hash for each rarer pair.
     """
-    parsed = results.select(
-        F.col("paper_id").cast("bigint"), F.col("result_id").cast("bigint"), F.xxhash64("data").alias("version"),
-        F.expr("try_variant_get(try_parse_json(data), '$', 'map<string,string>')").alias("pairs"), "data",
-    )
-    whole = F.create_map(F.lit("_unparsed"), F.col("data"))
-    cells = parsed.select(
-        "paper_id", "result_id", "version",
-        F.explode_outer(F.when(F.col("pairs").isNull() & F.col("data").isNotNull(), whole).otherwise(F.col("pairs"))).alias("field", "raw"),
-    ).withColumn("field", F.lower(F.trim("field")))
-    seen = cells.filter("raw is not null").groupBy("field", "raw").agg(F.count("*").alias("n")).withColumn("canonical", canonical(F.col("field"), F.col("raw"))).filter("canonical is not null")
-    seen = checkpointed(seen)
-    ids = checkpointed(seen.select("field", "canonical").distinct().withColumn("pair_id", F.monotonically_increasing_id()))
-    entries = checkpointed(seen.join(ids, ["field", "canonical"]).select("field", "raw", "n", "pair_id"))
-    coded = attach_group(cells, entries, ["field", "raw"], "n", "left")
-    return coded.groupBy("paper_id", "result_id", "version").agg(F.array_sort(F.collect_set("pair_id")).alias("record")).drop("version")
+    parsed = parsed_records(results)
+    entries, seed = dictionary(parsed.select(F.inline("pairs")))
+    cells = parsed.select("row", F.inline("pairs")).select("row", *_pair_hash(seed))
+    coded = attach_group(cells, entries, ["h1", "h2"], "n", "inner")
+    records = coded.groupBy("row").agg(F.array_sort(F.collect_set("pair_id")).alias("record"))
+    once = parsed.groupBy("paper_id", "result_id", "version").agg(F.min("row").alias("row"))  # a row that was sent twice
+    return once.join(records, "row", "left").select("paper_id", "result_id", F.coalesce("record", F.array().cast("array<bigint>")).alias("record"))
 
 
 def record_groups(encoded: DataFrame) -> DataFrame:

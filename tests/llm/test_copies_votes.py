@@ -105,3 +105,22 @@ def test_unknown_voters_keep_their_weight(spark):
     assert [got[i].label for i in (900, 901, 902)] == [False, True, False]
     prior = [math.log(got[i].probability / (1 - got[i].probability)) for i in (900, 901, 902)]
     assert prior[1] - prior[0] == pytest.approx(2 * (1 + 1 / 2 + 1 / 3)) and prior[0] == pytest.approx(prior[2])
+
+
+def test_hot_items_and_many_voters_give_the_same_posteriors(spark, monkeypatch):
+    _, rows = simulated(items=120)
+    frame = spark.createDataFrame([(k, i % 60 if k % 3 else 0, v, f"{h}-{k % 7}" if h else None, datetime(2024, 1, 1), "c") for k, (i, v, h) in enumerate(rows)], VOTES)
+    plain = {r.item: (round(r.q, 9), r.n_votes, r.n_yes) for r in consensus.fit_votes(frame)[0].collect()}
+    monkeypatch.setattr(consensus, "HOT_FLOOR", 30)
+    monkeypatch.setattr(consensus, "BROADCAST_VOTERS", 3)
+    split = {r.item: (round(r.q, 9), r.n_votes, r.n_yes) for r in consensus.fit_votes(frame)[0].collect()}
+    assert split == plain and len(split) == frame.select("extraction_id").distinct().count()
+
+
+def test_class_row_counts_items(spark):
+    """An item with many votes counts once: nine items of no with one vote each outweigh one of yes with thirty."""
+    rows = [(k, 0, True, f"v{k}", datetime(2024, 1, 1), "c") for k in range(30)] + [(100 + k, 1 + k, False, f"v{k}", datetime(2024, 1, 1), "c") for k in range(9)] + [(200, 50, True, None, datetime(2024, 1, 1), "c"), (201, 51, False, None, datetime(2024, 1, 1), "c")]
+    got = {r.extraction_id: r.probability for r in consensus.item_consensus(spark.createDataFrame(rows, VOTES)).collect()}
+    odds = lambda i: math.log(got[i] / (1 - got[i]))
+    assert odds(50) + odds(51) < 0  # twice the expected log odds of the classes
+    assert consensus.psi(3.0) - consensus.psi(1.0) == pytest.approx(1.5)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.skew import attach_group
+from tidemark.operators.skew import HOT_FLOOR, HOT_SHARE, attach_group
 from tidemark.session import checkpointed, shuffle_width
 
 #: Dirichlet priors: of the two classes, and of a voter's row (said right, said wrong).
@@ -13,10 +15,15 @@ CLASS_PRIOR = (1.0, 1.0)
 RIGHT_PRIOR, WRONG_PRIOR = 4.0, 1.0
 #: Expected log odds of a vote under the prior rows: digamma(RIGHT_PRIOR) - digamma(WRONG_PRIOR), both whole numbers.
 UNKNOWN_GAIN = sum(1 / k for k in range(int(WRONG_PRIOR), int(RIGHT_PRIOR)))
-ROUNDS = 12
+#: Rounds end when no voter's dependence on the label moves by more than this, and after ROUNDS in any case.
+SETTLED, ROUNDS = 0.005, 40
+#: Up to so many voters are broadcast, at about 60 bytes each.
+BROADCAST_VOTERS = 500_000
 MIN_VOTES = 20
-#: A voter depends on the label if P(yes | true) - P(yes | false) is above this.
-DEPENDENT = 0.3
+#: A voter's votes depend on the label if the reliability interval of P(yes | true) - P(yes | false) lies above ABOVE, or
+#: its middle above CLEAR, which few votes may spread widely. A voter's own votes move their items' labels, so the
+#: difference of a voter who ignores the label is a little above 0.
+ABOVE, CLEAR = 0.12, 0.35
 
 
 def digamma(x: Column) -> Column:
@@ -29,6 +36,16 @@ def digamma(x: Column) -> Column:
     return total + F.log(y) - F.lit(0.5) / y - i * (F.lit(1 / 12) - i * (F.lit(1 / 120) - i * (F.lit(1 / 252) - i * F.lit(1 / 240))))
 
 
+def psi(x: float) -> float:
+    """The digamma function of one number on the driver."""
+    total = 0.0
+    while x < 6:
+        total -= 1 / x
+        x += 1
+    i = 1 / (x * x)
+    return total + math.log(x) - 0.5 / x - i * (1 / 12 - i * (1 / 120 - i * (1 / 252 - i / 240)))
+
+
 def last_votes(votes: DataFrame) -> DataFrame:
     """(item, voter, vote): of the votes a voter gave on an item the last one; an unknown voter's votes all count."""
     known = (
@@ -44,77 +61,108 @@ def last_votes(votes: DataFrame) -> DataFrame:
     return known.unionByName(unknown.distinct().drop("id"))
 
 
-def _posterior(placed: DataFrame, voters: DataFrame | None, prior: tuple[float, float]) -> DataFrame:
-    """(item, q, ...) with q = P(label is yes), from every vote's expected log likelihoods under its voter's row.
+def place_votes(votes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(votes with ``part``, the items that are split or None), written once in the layout that every round reuses.
+
+    Votes are placed and sorted by (item, part), so a round neither shuffles nor sorts them. Items with more than a
+    thousandth of all votes are spread over parts; there are at most a thousand, whatever the data.
+    """
+    last = checkpointed(last_votes(votes))
+    width = shuffle_width(votes.sparkSession)
+    limit = max(HOT_FLOOR, int(last.count() * HOT_SHARE))
+    hot = checkpointed(last.groupBy("item").agg(F.count("*").alias("n")).filter(F.col("n") > limit).select("item", F.lit(True).alias("split")))
+    split = hot if hot.limit(1).count() else None
+    spread = last.withColumn("split", F.lit(None).cast("boolean")) if split is None else last.join(F.broadcast(split), "item", "left")
+    parted = spread.select("item", "voter", "vote", F.when(F.col("split"), F.pmod(F.xxhash64("voter", F.monotonically_increasing_id()), F.lit(width))).otherwise(0).cast("int").alias("part"))
+    return checkpointed(parted.repartition(width, "item", "part").sortWithinPartitions("item", "part")), split
+
+
+def _posterior(placed: DataFrame, split: DataFrame | None, voters: DataFrame | None, n_voters: int, prior: float) -> DataFrame:
+    """(item, part, q, n_votes, n_yes) with q = P(label is yes), from every vote's expected log likelihoods under its
+    voter's row; ``prior`` are the expected log odds of the classes.
 
     Nothing can be learned about an unknown voter: their votes have the prior's expectations in every round.
     """
+    said = F.col("vote") * 2 - 1
     if voters is None:
-        scored = placed.withColumn("gain", F.col("vote") * 2 - 1)
-        base = F.lit(0.0)
+        scored = placed.withColumn("gain", said)
     else:
-        rated = attach_group(placed, voters, ["voter"], "n", "left")
-        yes = F.col("lt1") - F.col("lf1")
-        no = F.col("lt0") - F.col("lf0")
-        scored = rated.withColumn("gain", F.coalesce(F.when(F.col("vote") > 0, yes).otherwise(no), (F.col("vote") * 2 - 1) * UNKNOWN_GAIN))
-        base = F.lit(float(prior[0] - prior[1]))
-    logit = base + F.sum("gain")
-    return scored.groupBy("item").agg(
-        (F.lit(1.0) / (F.lit(1.0) + F.exp(-F.greatest(F.least(logit, F.lit(35.0)), F.lit(-35.0))))).alias("q"),
-        F.count("*").alias("n_votes"), F.sum("vote").alias("n_yes"),
-    )
-
-
-def _voter_rows(placed: DataFrame, items: DataFrame) -> DataFrame:
-    """Dirichlet posteriors of each voter's two rows from the items' posteriors; partial sums combine before the shuffle."""
-    weighed = placed.filter("voter is not null").join(items.select("item", "q"), "item")
+        rated = _rated(placed, voters, n_voters)
+        yes, no = F.col("lt1") - F.col("lf1"), F.col("lt0") - F.col("lf0")
+        scored = rated.withColumn("gain", F.coalesce(F.when(F.col("vote") > 0, yes).otherwise(no), said * UNKNOWN_GAIN))
+    totals = [F.sum("gain").alias("gain"), F.count("*").alias("n_votes"), F.sum("vote").alias("n_yes")]
+    items = scored.groupBy("item", "part").agg(*totals)
+    if split is not None:
+        names = ("gain", "n_votes", "n_yes")
+        whole = items.join(F.broadcast(split), "item").groupBy("item").agg(*[F.sum(c).alias(f"all_{c}") for c in names])
+        items = items.join(F.broadcast(whole), "item", "left").select("item", "part", *[F.coalesce(f"all_{c}", c).alias(c) for c in names])
+    logit = F.greatest(F.least(F.lit(prior) + F.col("gain"), F.lit(35.0)), F.lit(-35.0))
+    return items.select("item", "part", (F.lit(1.0) / (F.lit(1.0) + F.exp(-logit))).alias("q"), "n_votes", "n_yes")
+
+
+def _rated(placed: DataFrame, voters: DataFrame, n_voters: int) -> DataFrame:
+    """Votes with their voter's expectations: BROADCAST_VOTERS voters at most are broadcast, more meet in a join in which
+    only those with many votes are."""
+    rows = voters.filter("voter is not null").select("voter", "n", "lt1", "lt0", "lf1", "lf0")
+    if n_voters <= BROADCAST_VOTERS:
+        return placed.join(F.broadcast(rows.drop("n")), "voter", "left")
+    return attach_group(placed, rows, ["voter"], "n", "left")
+
+
+def _voter_rows(placed: DataFrame, items: DataFrame, before: DataFrame | None) -> DataFrame:
+    """Dirichlet posteriors of each voter's two rows from the items' posteriors; partial sums combine before the shuffle.
+
+    ``yes_items`` and ``no_items`` add up to the expected items of either class over all voters, unknown ones (a row
+    without a voter) included: each vote stands for its share of its item. ``moved`` is how far the voter's dependence
+    on the label is from where it was.
+    """
+    weighed = placed.join(items.select("item", "part", "q", "n_votes"), ["item", "part"])
+    q, vote = F.col("q"), F.col("vote")
     counts = weighed.groupBy("voter").agg(
-        F.count("*").alias("n"),
-        F.sum(F.col("q") * F.col("vote")).alias("t1"), F.sum(F.col("q") * (1 - F.col("vote"))).alias("t0"),
-        F.sum((1 - F.col("q")) * F.col("vote")).alias("f1"), F.sum((1 - F.col("q")) * (1 - F.col("vote"))).alias("f0"),
+        F.count("*").alias("n"), F.sum(q * vote).alias("t1"), F.sum(q * (1 - vote)).alias("t0"), F.sum((1 - q) * vote).alias("f1"), F.sum((1 - q) * (1 - vote)).alias("f0"),
+        F.sum(q / F.col("n_votes")).alias("yes_items"), F.sum((1 - q) / F.col("n_votes")).alias("no_items"),
     )
     a1, a0 = F.col("t1") + RIGHT_PRIOR, F.col("t0") + WRONG_PRIOR
     b1, b0 = F.col("f1") + WRONG_PRIOR, F.col("f0") + RIGHT_PRIOR
-    return counts.select(
-        "voter", "n", "t1", "t0", "f1", "f0",
+    rows = counts.select(
+        "*", (a1 / (a1 + a0) - b1 / (b1 + b0)).alias("gap"),
         (digamma(a1) - digamma(a1 + a0)).alias("lt1"), (digamma(a0) - digamma(a1 + a0)).alias("lt0"),
         (digamma(b1) - digamma(b1 + b0)).alias("lf1"), (digamma(b0) - digamma(b1 + b0)).alias("lf0"),
     )
+    if before is None:
+        return rows.withColumn("moved", F.lit(1.0))
+    old = before.select(F.col("voter").alias("old"), F.col("gap").alias("old_gap"))
+    return rows.join(old, F.col("voter").eqNullSafe(F.col("old")), "left").withColumn("moved", F.abs(F.col("gap") - F.col("old_gap"))).drop("old", "old_gap")
 
 
-def fit_votes(votes: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(votes that count, items with q, voters with their posterior rows) after ``rounds`` of coordinate ascent.
+def fit_votes(votes: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
+    """(items with q, voters with their posterior rows) by coordinate ascent, until no voter's dependence on the label
+    moves by more than SETTLED, or ``rounds`` are done.
 
-    votes: id, extraction_id, vote, voter_hash, created_at. The votes are placed by item once; a round then moves only
-    the voters' small rows. The first posterior is the plain majority; in later rounds unknown voters' votes weigh as
-    the prior says. They have no row.
+    votes: id, extraction_id, vote, voter_hash, created_at. A round reads the placed votes and writes the voters' rows,
+    one per voter. The class row is variational too: with the expected items of either class it has a Dirichlet
+    posterior, of which digamma differences are the expected log odds. The first posterior is the plain majority; votes
+    of unknown voters weigh as the prior says in later rounds. They have no row.
     """
-    placed = checkpointed(last_votes(votes).repartition(shuffle_width(votes.sparkSession), "item"))
-    voters, prior = None, CLASS_PRIOR
-    for done in range(rounds):
-        items = _posterior(placed, voters, prior)
-        voters = checkpointed(_voter_rows(placed, items))
-        t, f = voters.agg(F.sum(F.col("t1") + F.col("t0")), F.sum(F.col("f1") + F.col("f0"))).first()
-        share = ((t or 0.0) + CLASS_PRIOR[0]) / ((t or 0.0) + (f or 0.0) + sum(CLASS_PRIOR))
-        prior = _log_odds(share)
-    items = checkpointed(_posterior(placed, voters, prior))
-    return placed, items, voters
-
-
-def _log_odds(share: float) -> tuple[float, float]:
-    import math
-
-    share = min(max(share, 1e-6), 1 - 1e-6)
-    return math.log(share), math.log(1 - share)
+    placed, split = place_votes(votes)
+    voters, prior, n_voters = None, 0.0, 0
+    for _ in range(rounds):
+        voters = checkpointed(_voter_rows(placed, _posterior(placed, split, voters, n_voters, prior), voters))
+        yes, no, moved, n_voters = voters.agg(F.sum("yes_items"), F.sum("no_items"), F.max("moved"), F.count("*")).first()
+        prior = float(psi(CLASS_PRIOR[0] + (yes or 0.0)) - psi(CLASS_PRIOR[1] + (no or 0.0)))
+        if (moved or 0.0) < SETTLED:
+            break
+    items = _posterior(placed, split, voters, n_voters, prior)
+    return items if split is None else items.dropDuplicates(["item"]), voters.filter("voter is not null")
 
 
 def item_consensus(votes: DataFrame) -> DataFrame:
     """(extraction_id, label, probability, n_votes, n_yes, agreement): one row per item with a vote.
 
-    ``label`` is null where the model is undecided; a vote of an unknown voter weighs as the prior says. ``agreement`` is the item's share of agreeing pairs of votes, null
-    for a single vote. A null vote or item doesn't count; of repeated or changed votes the last does.
+    ``label`` is null where the model is undecided; a vote of an unknown voter weighs as the prior says. ``agreement`` is
+    the item's share of agreeing pairs of votes, null for a single vote. A null vote or item doesn't count; of repeated or changed votes the last does.
     """
-    _, items, _ = fit_votes(votes)
+    items, _ = fit_votes(votes)
     n, y = F.col("n_votes"), F.col("n_yes")
     pairs = (y * (y - 1) + (n - y) * (n - y - 1)) / (n * (n - 1))
     return items.select(
@@ -138,7 +186,7 @@ def voter_reliability(votes: DataFrame) -> DataFrame:
     ``dependence`` is the difference of the two posterior means: near 0 if the votes don't depend on the label, below
     0 if they go against it. ``low`` and ``high`` bound it at two posterior standard deviations.
     """
-    _, _, voters = fit_votes(votes)
+    _, voters = fit_votes(votes)
     t, f = F.col("t1") + F.col("t0") + 2, F.col("f1") + F.col("f0") + 2  # a flat prior: the model's own would hide who is unreliable
     yes_true, yes_false = (F.col("t1") + 1) / t, (F.col("f1") + 1) / f
     spread = F.sqrt(yes_true * (1 - yes_true) / (t + 1) + yes_false * (1 - yes_false) / (f + 1))
@@ -150,5 +198,7 @@ def voter_reliability(votes: DataFrame) -> DataFrame:
 
 
 def unreliable_voters(votes: DataFrame) -> DataFrame:
-    """(voter_hash) of voters with MIN_VOTES votes or more whose votes don't depend on the label, or go against it."""
-    return voter_reliability(votes).filter((F.col("n_votes") >= MIN_VOTES) & (F.col("dependence") < DEPENDENT)).select("voter_hash")
+    """(voter_hash) of voters with MIN_VOTES votes or more whose votes don't depend on the label, or go against it, by
+    their reliability interval."""
+    ignores = (F.col("low") < ABOVE) & (F.col("dependence") < CLEAR)
+    return voter_reliability(votes).filter((F.col("n_votes") >= MIN_VOTES) & ignores).select("voter_hash")

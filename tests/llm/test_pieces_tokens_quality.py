@@ -84,11 +84,15 @@ JUNK = {
 
 def test_verdicts():
     share = quality.STATS.names.index("prose_share")
+    rng = random.Random(3)
+    pick = lambda words: rng.choice(words.split())
+    said = lambda: f"The {pick('salinity depth colour level smell name shape')} of the {pick('lagoon river marsh reef bay delta creek')} {pick('rose fell stayed changed grew')} {pick('after before during with')} the {pick('storm flood drought winter tide harvest')}, and {pick('fish birds boats weeds sands')} {pick('came left moved turned')} {pick('up down in out over')} as they had {pick('always never once often')} been."
+    long = " ".join(said() for _ in range(40))
     assert quality.describe(PROSE)[share] == 1.0 and quality.describe(PROSE)[-1]
     for kind, text in JUNK.items():
         assert quality.describe(text)[share] < 0.3, kind
         assert not quality.describe(text)[-1], kind
-        assert quality.describe(f"{PROSE * 30}\n\n{text}")[-1], kind
+        assert quality.describe(f"{long}\n\n{text}")[-1], kind
     wrapped = "Nitrate in the lagoon rose\nsharply during the wet season\nand it fell again when the\nriver ran dry in the summer."
     assert quality.describe(wrapped)[-1]
     for other in ("Se tomaron muestras de agua en la laguna con una sonda en el verano.", "Wie stark die Erwärmung den Sauerstoffgehalt prägt, blieb im Jahr 1991 offen.", "Replicates (n = 37) agreed within 8%, except across three years."):
@@ -102,6 +106,16 @@ def test_repetition():
     assert quality.describe(None) == (None,) * len(at) and quality.describe(" \n")[at["is_prose"]] is False and quality.describe("")[0] == 0
 
 
+def test_repetition_decides(spark):
+    """The same sentences again and again are no prose, though each of them is one."""
+    at = {n: i for i, n in enumerate(quality.STATS.names)}
+    line = "Nitrate in the lagoon rose sharply during the wet season of that year.\n"
+    row = quality.describe(line * 200)
+    assert row[at["duplicate_line_share"]] > 0.99 and row[at["boilerplate_share"]] == pytest.approx(0.99) and not row[at["is_prose"]]
+    assert not quality.describe(line.strip().replace(".", "") * 1 + " " + "the same few words of the river and the lagoon " * 40 + ".")[at["is_prose"]]
+    assert quality.describe(line * 2)[at["is_prose"]] and quality.describe(line)[at["is_prose"]]
+
+
 def test_text_quality(spark):
     frame = spark.createDataFrame([(1, PROSE, 1), (2, None, 1), (3, " ", 1), (4, JUNK["list"], 1), (4, JUNK["list"], 1), (5, "word " * 30_000, 1)], "doc_id bigint, text string, n_words int")
     got = quality.text_quality(frame)

@@ -33,6 +33,28 @@ def test_pieces_end_at_sentences():
     assert all(text[:b].rstrip().endswith(".") for _, b in pieces.split_text(text))
 
 
+def test_only_oversized_nodes_are_opened():
+    """Sections that fit stay whole or are merged; what an opened section leaves isn't put together with its sibling."""
+    sentence = "The salinity of the lagoon rose after the storm. "
+    small = [f"### A{i} small\n{sentence * 3}\n" for i in range(3)]
+    text = "# Top\n\n" + f"### A1 large\n{sentence * 30}\n" + "".join(small) + "## B\n" + sentence * 20
+    spans = pieces.split_text(text, 700, 60)
+    ends = [b for _, b in spans]
+    second = text.index("### A0")
+    assert second in ends and text.index("## B") in ends and len(small[0]) * 3 < 640
+    assert not any(second < e < text.index("## B") for e in ends)
+
+
+def test_nested_lists_and_tables():
+    items = "".join(f"- item {i}\n" + "".join(f"  - part {i}.{k} of the same item\n" for k in range(4)) for i in range(12))
+    ends = [b for _, b in pieces.split_text(items, 400, 40)]
+    assert all(items[e:].startswith("- item") or e == len(items) for e in ends) and len(ends) > 3
+    table = "<table>" + "".join(f"<tr><td>{i}</td><td>value; of, a cell</td></tr>" for i in range(60)) + "</table>"
+    assert all(table[e:].startswith(("<tr", "</table")) or e == len(table) for _, e in pieces.split_text(table, 500, 50))
+    deep = "".join(" " * i + "- x\n" for i in range(3000))
+    assert all(b - a <= 500 for a, b in pieces.split_text(deep, 500, 50))
+
+
 def test_split_contexts(spark):
     long = "A sentence of words. " * 200
     rows = [(1, f'<page number="0">short</page><page number="1">{long}</page><page number="1">{long}', "x", 1), (2, None, "x", 1), (3, "", "x", 1), (None, "   ", "x", 1), (4, "y" * 100_000, "x", 1), (4, "y" * 100_000, "x", 1)]

@@ -80,7 +80,7 @@ def p9_leaks(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
-    return p9_leaks(spark, folder).select("item_id", "doc_id")
+    return p9_leaks(spark, folder).filter("kind = 'passage'").select("item_id", "doc_id")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -103,12 +103,72 @@ def test_leaks(spark):
 def test_alignment():
     item = [f"w{i}" for i in range(40)]
     text = ["x"] * 9 + item[5:12] + ["new"] + item[12:20] + item[21:26] + ["y"] * 9
-    matching, edits, score = leaks.aligned(item, text)
-    assert (matching, edits) == (20, 2) and score == pytest.approx(17)
+    matching, edits, score, spanned = leaks.aligned(item, text)
+    assert (matching, edits, spanned) == (20, 2, 21) and score == pytest.approx(17)
     masks = {w: 1 << i for i, w in enumerate(item)}
     assert leaks.common_length(masks, 40, text) == 20 and leaks.common_length(masks, 40, ["q"]) == 0
 
 
+def brute_score(item, words):
+    """Local alignment cell by cell."""
+    above, best = [0.0] * (len(words) + 1), 0.0
+    for a in item:
+        row = [0.0]
+        for j, b in enumerate(words):
+            row.append(max(0.0, above[j] + (1.0 if a == b else -leaks.EDIT_COST), above[j + 1] - leaks.EDIT_COST, row[j] - leaks.EDIT_COST))
+        above, best = row, max(best, *row)
+    return best
+
+
+def test_alignment_equals_brute_force():
+    rng = random.Random(21)
+    item = [f"w{i}" for i in range(30)]
+    three = item[:10] + ["x", "y", "z"] + item[10:20]
+    assert leaks.aligned(item, three) == (20, 3, 15.5, 20)
+    for _ in range(200):
+        words = list(item[rng.randrange(10) : rng.randrange(18, 30)])
+        for _ in range(rng.randrange(7)):
+            i = rng.randrange(len(words))
+            words[i : i + rng.randrange(3)] = [f"n{rng.randrange(9)}"] * rng.randrange(5) if rng.random() < 0.7 else [rng.choice(item)]
+            words = words or ["none"]
+        words = ["a"] * rng.randrange(4) + words + words[: rng.randrange(6)]
+        matching, edits, score, _ = leaks.aligned(item, words)
+        best = brute_score(item, words)
+        assert score == pytest.approx(best if best >= leaks.LEAST_SCORE else 0) and score == pytest.approx(matching - leaks.EDIT_COST * edits)
+
+
+@pytest.mark.parametrize("many", [160, 2000])
+def test_every_passage_is_found_among_many_items(spark, many):
+    """Candidate search in the latent space against alignment of every planted pair."""
+    _, said = passages()
+    items = [". ".join(said() for _ in range(4)) for _ in range(many)]
+    rng = random.Random(many)
+    docs, truth = [], set()
+    for d in range(250):
+        i = rng.randrange(many)
+        words = items[i].split()
+        at, size = rng.randrange(len(words) - 30), rng.choice([16, 18, 24])
+        part = words[at : at + size]
+        if d % 3 == 0:
+            part[size // 2] = "perhaps"
+        filler = "salinity near the mouth stayed close to its mean and turbidity fell again when the river ran dry "
+        docs.append((d, filler * rng.randint(1, 4) + " ".join(part) + " " + filler * rng.randint(1, 4)))
+        truth.add((i, d))
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    got = {(r.item_id, r.doc_id) for r in leaks.leaked_items(frame, spark.createDataFrame([*enumerate(items)], "item_id bigint, text string")).collect()}
+    assert len(truth & got) >= 0.98 * len(truth) and len(got - truth) <= 0.02 * len(truth)
+
+
+def test_reworded_items_are_told_by_their_answers(spark):
+    items, said = passages()
+    words = items[5].split()
+    again = " ".join(w if k % 3 else f"{w} indeed still" for k, w in enumerate(words))  # no run of it aligns
+    other = " ".join(f"{w} indeed still" for k, w in enumerate(words) if k % 3 == 0)  # a third of it, no answers
+    frame = spark.createDataFrame([(1, again), (2, other), (3, said())], "doc_id bigint, text string")
+    got = {(r.item_id, r.doc_id): r for r in leaks.leaked_items(frame, spark.createDataFrame([*enumerate(items)], "item_id bigint, text string")).collect()}
+    assert set(got) == {(5, 1)} and got[5, 1].kind == "reworded" and got[5, 1].answers >= leaks.ANSWER_SHARE and got[5, 1].common > 0.8
+
+
 KNOWN = "salinity nitrate turbidity sediment estuary lagoon mangrove stormwater photosynthesis denitrification remained increased between observed stations samples channel seasonal baseline inventory".split()
 _rng = random.Random(11)
 WORDS = sorted(set(KNOWN) | {"".join(_rng.choice(["sal", "tor", "min", "be", "lo", "ca", "ren", "du", "po", "sti", "gra", "ve"]) for _ in range(_rng.randint(2, 4))) for _ in range(250)})
@@ -166,6 +226,39 @@ def test_scans(spark):
     assert scans.found_noise(frame.limit(0)).count() == 0 and scans.repaired_text(frame.filter("paper_id = 900")).count() == 0
 
 
+def test_a_null_id_is_an_id_like_others(spark):
+    rng = random.Random(2)
+    made = {k: scanned(rng, {}) for k in range(12)}
+    rows = [(k, text) for k, (text, _) in made.items()] + [(None, made[3][0])]
+    repair = scans.Repair(spark.createDataFrame(rows, "paper_id bigint, context string"))
+    found = repair.found().collect()
+    of = lambda k: sorted((r.line_no, r.kind) for r in found if r.paper_id == k)
+    assert of(None) == of(3) and {kind for _, kind in of(3)} == {"furniture", "hyphen", "glyph"}
+    text = {r.paper_id: r.paragraphs for r in repair.paragraphs().collect()}
+    assert text[None] == text[3] and len(text) == 13
+    assert repair.broken.filter(f"pid = {scans.NO_PAPER}").agg({"n_l": "max"}).first()[0] > 0
+
+
+def test_scanned_pages_are_told_page_by_page():
+    line = "the salinity of the lagoon remained close to what it was before the storm and the"
+    scan = ['<page number="1">', *[line] * 100, "</page>"]
+    digital = [x for k in range(10) for x in (f'<page number="{k + 2}">', *[y for _ in range(6) for y in (line * 3 + ".", "")], "</page>")]
+    flags = scans.scanned_lines(scan + digital)
+    assert all(flags[:102]) and not any(flags[102:]) and not any(scans.scanned_lines(digital))
+    assert [r["no"] for r in scans.page_lines("\n".join(scan + digital))] == list(range(2, 102))
+    wide = ["w" * 146] * 30
+    assert all(scans.scanned_lines(wide)) and scans.scanned_lines([]) == [] and scans.page_lines("") == []
+    mixed = [line] * 90 + [""] + [y for _ in range(60) for y in (line * 3 + ".", "")]
+    assert all(scans.scanned_lines(mixed)[:90]) and not any(scans.scanned_lines(mixed)[120:])
+
+
+def test_the_rest_of_a_broken_word_may_stand_far_off():
+    row = lambda no, text, page, table=False: {"no": no, "text": text, "page": page, "table": table}
+    rows = [row(1, "the sali-", 1), *(row(3 + k, "1 | 2 | 3", 1, True) for k in range(30)), row(40, "nity rose", 2)]
+    assert scans._following(rows, 0)["no"] == 40
+    assert scans._following([rows[0], row(40, "Nothing", 2), row(50, "nity", 3)], 0) is None
+
+
 def test_confusions_that_share_no_gram_are_candidates_however_often_they_occur(spark):
     pairs = [("forclng", 60, "forcing", 20_000), ("earller", 5, "earlier", 1600), ("drlfted", 70, "drifted", 9000), ("prlmary", 51, "primary", 9000)]
     assert not any(set(scans._grams(a)) & set(scans._grams(b)) for a, _, b, _ in pairs)

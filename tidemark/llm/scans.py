@@ -8,6 +8,7 @@ occur whole elsewhere, and vocabulary words misread on purpose.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections import Counter, defaultdict
@@ -16,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,13 +29,18 @@ from tidemark.session import checkpointed
 
 #: Each classifier is trained on at most this many rows; counts, vocabulary and decisions cover every row.
 TRAINING_LINES, TRAINING_HYPHENS, TRAINING_WORDS = 30_000, 10_000, 4_000
-#: Lines up to this length may be headings or edges, so it is counted where else they stand.
-KEY_CHARS = 60
+#: Furniture is looked for among so many lines from either edge of a page.
+EDGE_LINES = 3
+#: A stretch of a context is scanned if this share of its longer lines goes on in the next line; the share of the whole
+#: context counts like so many lines of the stretch. Pages without tags are cut into stretches of so many lines.
+WRAPPED_FROM, CONTEXT_WEIGHT, STRETCH_LINES = 0.3, 5, 80
 #: Decisions are taken from this probability on.
 FURNITURE_FROM, HYPHEN_FROM, MISREAD_FROM = 0.5, 0.5, 0.5
 #: A correction that isn't in the vocabulary itself needs more: right words without a known neighbour are far more
 #: common than misread ones, so they weigh more in training.
-UNSEEN_FROM, UNSEEN_WEIGHT = 0.8, 8.0
+UNSEEN_FROM, UNSEEN_WEIGHT = 0.97, 8.0
+#: Words of more characters meet by halves of their shape.
+LONG_WORD = 40
 #: How often one form of a misreading occurs for each time its word does, roughly.
 MISREAD_RATE = 0.004
 
@@ -48,10 +54,14 @@ CONFUSIONS = (
 _PAIR_SHAPES = (("rn", "m"), ("nn", "m"), ("vv", "w"), ("cl", "d"), ("ii", "u"), ("li", "h"), ("ri", "n"))
 _SHAPES = str.maketrans("01i|cao5h6q9yf2", "ollleoosbbggvtz")
 MARKS = "-‐¬­"
+#: Stands for a null paper_id inside of the joins.
+NO_PAPER = -(1 << 63)
 
+_DIGITS, _HASHES, _BETWEEN = re.compile(r"\d+"), re.compile(r"#+"), re.compile(r"\W+")
 _ROMAN = re.compile(r"[ivxlc]{1,8}")
 _TOKEN = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
 _TAG = re.compile(r"^\s*</?(?:page|table|tr|td|th)\b", re.I)
+_TABLE, _TABLE_END, _ROW = re.compile(r"<table\b", re.I), re.compile(r"</table>", re.I), re.compile(r"<(?:tr|table)\b", re.I)
 _HEAD = re.compile(r"^\s*(?:#{1,6}\s|\d+(?:\.\d+)*\.?\s+[A-Z])")
 _NUMERAL = r"(?:page\s+|p\.\s*)?(?:(?-i:[\dOolIiSB]{1,5})|[ivxlc]{1,8})(?:\s*(?:of|/)\s*(?-i:[\dOolISB]{1,5}))?"
 _PAGE_NO = re.compile(rf"^(?:{_NUMERAL}|[-–—|]\s*{_NUMERAL}\s*[-–—|]|\(\s*{_NUMERAL}\s*\)|\[\s*{_NUMERAL}\s*\])$", re.I)
@@ -69,20 +79,20 @@ def shape(word: str) -> str:
 
 def edge_key(line: str) -> str:
     """A page edge without its numbers and without what is often misread."""
-    return re.sub(r"\W+", " ", re.sub(r"#+", "#", shape(re.sub(r"\d+", "#", line)))).strip() if line else ""
+    return _BETWEEN.sub(" ", _HASHES.sub("#", shape(_DIGITS.sub("#", line)))).strip() if line else ""
 
 
 LINES = T.StructType(
     [
-        T.StructField("paper_id", T.LongType()), T.StructField("version", T.LongType()), T.StructField("line_no", T.LongType()), T.StructField("text", T.StringType()),
+        T.StructField("pid", T.LongType()), T.StructField("version", T.LongType()), T.StructField("line_no", T.LongType()), T.StructField("text", T.StringType()),
         T.StructField("page", T.IntegerType()), T.StructField("body", T.BooleanType()), T.StructField("joins", T.BooleanType()), T.StructField("begun", T.BooleanType()),
         T.StructField("next_no", T.LongType()), T.StructField("next_text", T.StringType()), T.StructField("mark_share", T.DoubleType()),
-        T.StructField("features", T.ArrayType(T.FloatType())), T.StructField("repeats", T.IntegerType()), T.StructField("key", T.StringType()),
+        T.StructField("features", T.ArrayType(T.FloatType())), T.StructField("repeats", T.IntegerType()), T.StructField("key", T.LongType()),
     ]
 )
 _ARROW_LINES = pa.schema(
-    [("paper_id", pa.int64()), ("version", pa.int64()), ("line_no", pa.int64()), ("text", pa.string()), ("page", pa.int32()), ("body", pa.bool_()), ("joins", pa.bool_()), ("begun", pa.bool_()),
-     ("next_no", pa.int64()), ("next_text", pa.string()), ("mark_share", pa.float64()), ("features", pa.list_(pa.float32())), ("repeats", pa.int32()), ("key", pa.string())]
+    [("pid", pa.int64()), ("version", pa.int64()), ("line_no", pa.int64()), ("text", pa.string()), ("page", pa.int32()), ("body", pa.bool_()), ("joins", pa.bool_()), ("begun", pa.bool_()),
+     ("next_no", pa.int64()), ("next_text", pa.string()), ("mark_share", pa.float64()), ("features", pa.list_(pa.float32())), ("repeats", pa.int32()), ("key", pa.int64())]
 )
 FEATURES = (
     "top", "bottom", "blank_before", "blank_after", "after_table", "length", "relative", "digits", "upper", "page_number", "roman", "repeats", "sequence",
@@ -91,31 +101,56 @@ FEATURES = (
 _REPEATS, _SEQUENCE, _TOP, _BOTTOM = (FEATURES.index(n) for n in ("repeats", "sequence", "top", "bottom"))
 
 
-def is_scan(lines: list[str]) -> bool:
-    """Whether paragraphs run over several lines, as scanned pages do."""
-    text = [(i, s) for i, s in enumerate(lines) if len(s) > 20 and not _TAG.match(s) and s.count("|") < 2]
-    if not text:
-        return False
-    wrapped = sum(1 for i, s in text if i + 1 < len(lines) and lines[i + 1].strip() and not _TAG.match(lines[i + 1]) and lines[i + 1].count("|") < 2 and s.rstrip()[-1:] not in ".!?:;" and len(s) <= 130)
-    return wrapped >= 0.3 * len(text)
+def wrapped_lines(lines: list[str]) -> list[bool | None]:
+    """Of each line whether its paragraph goes on in the next one; None for short lines, tables and tags."""
+    flow = [bool(s.strip()) and not _TAG.match(s) and s.count("|") < 2 for s in lines]
+    follows = flow[1:] + [False]
+    return [(after and s.rstrip()[-1:] not in ".!?:;") if ok and len(s) > 20 else None for s, ok, after in zip(lines, flow, follows)]
+
+
+def scanned_lines(lines: list[str]) -> list[bool]:
+    """Which lines of a context come from a scan, where paragraphs run over lines, decided for each page by itself.
+
+    A page is a stretch; a long one, such as a context without tags, is cut at blank lines into several. A stretch of a
+    few lines goes with its context.
+    """
+    wrapped = wrapped_lines(lines)
+    known = [w for w in wrapped if w is not None]
+    share = sum(known) / len(known) if known else 0.0
+    out: list[bool] = []
+    stretch: list[int] = []
+
+    def close() -> None:
+        own = [wrapped[i] for i in stretch if wrapped[i] is not None]
+        scanned = bool(known) and sum(own) + CONTEXT_WEIGHT * share >= WRAPPED_FROM * (len(own) + CONTEXT_WEIGHT)
+        out.extend([scanned] * len(stretch))
+        stretch.clear()
+
+    for i, line in enumerate(lines):
+        if stretch and (_OPEN.search(line) or not line.strip() and len(stretch) >= STRETCH_LINES):
+            close()
+        stretch.append(i)
+    close()
+    return out
 
 
 def page_lines(context: str) -> list[dict]:
-    """The text lines of a scanned context, each with its place on the page; none for a digital one."""
+    """The text lines of the scanned pages of a context, each with its place on the page; none for a digital one."""
     lines = [s.rstrip("\r") for s in context.split("\n")]
-    if not is_scan(lines):
+    scanned = scanned_lines(lines)
+    if not any(scanned):
         return []
     page, table, rows, pages = 0, False, [], defaultdict(list)
     for no, line in enumerate(lines, 1):
         if _OPEN.search(line):
             page += 1
         tagged = bool(_TAG.match(line)) or bool(_CLOSE.search(line))
-        if re.search(r"<table\b", line, re.I):
+        if _TABLE.search(line):
             table = True
         inside = table or tagged or line.count("|") >= 2
-        if re.search(r"</table>", line, re.I):
+        if _TABLE_END.search(line):
             table = False
-        if not line.strip() or tagged and not re.search(r"<(?:tr|table)\b", line, re.I):
+        if not scanned[no - 1] or not line.strip() or tagged and not _ROW.search(line):
             continue
         row = {"no": no, "text": line.strip(), "page": page, "table": inside, "before": not lines[no - 2].strip() or bool(_TAG.match(lines[no - 2])) if no > 1 else True,
                "after": not lines[no].strip() or bool(_TAG.match(lines[no])) if no < len(lines) else True}
@@ -135,20 +170,20 @@ def _place(pages: dict[int, list[dict]]) -> None:
             r["top"], r["bottom"] = i, len(rs) - 1 - i
             r["after_table"] = i > 0 and rs[i - 1]["table"]
             r["key"] = edge_key(r["text"])
-        for key in {(r["key"], r["top"] < 2) for r in rs if not r["table"] and min(r["top"], r["bottom"]) < 3}:
+        for key in {(r["key"], r["top"] < 2) for r in rs if not r["table"] and min(r["top"], r["bottom"]) < EDGE_LINES}:
             seen[key] += 1
-        for value in {(v, r["top"] < 2) for r in rs if not r["table"] and min(r["top"], r["bottom"]) < 3 for v in _numbers(r["text"])}:
+        for value in {(v, r["top"] < 2) for r in rs if not r["table"] and min(r["top"], r["bottom"]) < EDGE_LINES for v in _numbers(r["text"])}:
             offsets[(value[0] - number, value[1])] += 1
     for number, rs in pages.items():
         for r in rs:
             t = r["text"]
-            letters = sum(ch.isalpha() for ch in t)
-            near = min(r["top"], r["bottom"]) < 3
+            letters = sum(map(str.isalpha, t))
+            near = min(r["top"], r["bottom"]) < EDGE_LINES
             r["repeats"] = seen[(r["key"], r["top"] < 2)] if near else 0
             sequence = max((offsets[(v - number, r["top"] < 2)] for v in _numbers(t)), default=0) if near else 0
             r["features"] = [
                 min(r["top"], 4), min(r["bottom"], 4), r["before"], r["after"], r["after_table"], min(len(t), 150), len(t) / max(width, 1),
-                sum(ch.isdigit() for ch in t) / max(len(t), 1), sum(ch.isupper() for ch in t) / max(letters, 1), bool(_PAGE_NO.match(t)), bool(_ROMAN.fullmatch(t)),
+                sum(map(str.isdigit, t)) / max(len(t), 1), sum(map(str.isupper, t)) / max(letters, 1), bool(_PAGE_NO.match(t)), bool(_ROMAN.fullmatch(t)),
                 min(r["repeats"], 6), min(sequence, 6), t[-1:] in ".!?;,", t[-1:].isdigit() or t[:1].isdigit(), bool(_HEAD.match(t)), min(len(pages), 6),
                 min(len(t.split()), 20), t[:1].islower(), len(rs) > 6, _goes_on(rs, r["top"]), 0, 0,
             ]
@@ -189,18 +224,31 @@ def scan_lines(contexts: DataFrame) -> DataFrame:
                 for r, follow in zip(rows, follows):
                     out.append((
                         paper, version, r["no"], r["text"], r["page"], not r["table"], follow is not None, r["no"] in begun, follow and follow["no"], follow and follow["text"],
-                        ends[r["text"][-1]] / total if follow else None, [float(x) for x in r["features"]], r["repeats"], r["key"] if not r["table"] and len(r["text"]) <= KEY_CHARS and r["key"] else None,
+                        ends[r["text"][-1]] / total if follow else None, [float(x) for x in r["features"]], r["repeats"], _hash(r["key"]) if not r["table"] and r["key"] else None,
                     ))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _ARROW_LINES)], schema=_ARROW_LINES)
 
-    source = contexts.filter("context is not null").select(F.col("paper_id").cast("bigint"), F.xxhash64("context").alias("version"), "context").distinct()
+    pid = F.coalesce(F.col("paper_id").cast("bigint"), F.lit(NO_PAPER))
+    source = contexts.filter("context is not null").select(pid.alias("pid"), F.xxhash64("context").alias("version"), "context").distinct()
     return source.mapInArrow(run, LINES)
 
 
+def _hash(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "little", signed=True)
+
+
+def _paper() -> Column:
+    return F.nullif("pid", F.lit(NO_PAPER)).alias("paper_id")
+
+
 def _following(rows: list[dict], i: int) -> dict | None:
     """The line that goes on with the word at the end of line i: the next one, or the first such one of the next page."""
-    for r in rows[i + 1 : i + 9]:
+    pages = 0
+    for before, r in zip(rows[i:], rows[i + 1 :]):
+        pages += r["page"] != before["page"]
+        if pages > 1:
+            return None
         if r["table"]:
             continue
         if r["text"][:1].isalpha() and (r["text"][:1].islower() or r["no"] == rows[i]["no"] + 1) or r["text"][:1].isdigit() and re.match(r"\d*[a-z]", r["text"]) and r["no"] == rows[i]["no"] + 1:
@@ -214,15 +262,16 @@ def _following(rows: list[dict], i: int) -> dict | None:
 
 
 def count_places(lines: DataFrame) -> DataFrame:
-    """Adds to the features how often short lines stand inside of pages and at edges, over the whole corpus.
+    """Adds to the features how often else a line stands inside of pages and at edges, over the whole corpus.
 
     A section heading stands inside of pages as well, a running head only at their edges.
     """
     edge = F.least(F.get("features", F.lit(_TOP)), F.get("features", F.lit(_BOTTOM))) < 2
-    places = lines.filter("key is not null").groupBy("key").agg(F.count("*").alias("n"), F.sum((~edge).cast("int")).alias("inner_n"), F.countDistinct(F.when(edge, F.col("version"))).alias("edge_n"))
-    counted = attach_group(lines, places.filter("n > 1 or inner_n > 0"), ["key"], "n", "left")
+    places = lines.filter("key is not null").groupBy("key").agg(F.count("*").alias("n"), F.sum((~edge).cast("int")).alias("inner_n"), F.countDistinct(F.when(edge, F.struct("pid", "version"))).alias("edge_n"))
+    counted = attach_group(lines, places.filter("n > 1"), ["key"], "n", "left")
     log = lambda c: F.log1p(F.least(F.coalesce(c, F.lit(0)), F.lit(50))).cast("float")
-    return counted.withColumn("features", F.concat(F.slice("features", 1, len(FEATURES) - 2), F.array(log("inner_n"), log("edge_n")))).drop("inner_n", "edge_n", "key")
+    others = F.col("inner_n") - (~edge).cast("int")
+    return counted.withColumn("features", F.concat(F.slice("features", 1, len(FEATURES) - 2), F.array(log(others), log(F.col("edge_n"))))).drop("inner_n", "edge_n", "key")
 
 
 def fit_furniture(lines: DataFrame) -> BoostedTrees:
@@ -231,7 +280,7 @@ def fit_furniture(lines: DataFrame) -> BoostedTrees:
     Half of the training edges hide their repetition, so the form of a running head is learned as well; short lines
     inside of pages also take part as if they stood at an edge, so headings are told from running heads.
     """
-    keys = ("paper_id", "version", "line_no")
+    keys = ("pid", "version", "line_no")
     sample = hash_sample(lines.filter("body").select("features", *keys), TRAINING_LINES, *keys).select("features", "draw", "line_no").toPandas().sort_values(["draw", "line_no"])
     x = np.array(sample["features"].tolist(), dtype=float).reshape(-1, len(FEATURES))
     edge = np.minimum(x[:, _TOP], x[:, _BOTTOM])
@@ -257,7 +306,7 @@ def fit_furniture(lines: DataFrame) -> BoostedTrees:
     data = np.concatenate([x[sure], hidden, x[inner], short, low, first, x[heading_edge], flow])
     y = np.concatenate([np.ones(sure.sum() + len(hidden)), np.zeros(inner.sum() + len(short) + len(low) + len(first) + heading_edge.sum() + len(flow))])
     order = rng.permutation(len(y))
-    return BoostedTrees(trees=60, depth=4).fit(data[order], y[order]) if 0 < y.mean() < 1 else BoostedTrees()
+    return BoostedTrees(trees=60, depth=4).fit(data[order], y[order]) if len(y) and 0 < y.mean() < 1 else BoostedTrees()
 
 
 def mark_furniture(lines: DataFrame, model: BoostedTrees) -> DataFrame:
@@ -267,7 +316,7 @@ def mark_furniture(lines: DataFrame, model: BoostedTrees) -> DataFrame:
     def chance(features: pd.Series) -> pd.Series:
         x = np.array(features.tolist(), dtype=float).reshape(-1, len(FEATURES))
         p = np.zeros(len(x))
-        near = np.minimum(x[:, _TOP], x[:, _BOTTOM]) <= 2
+        near = np.minimum(x[:, _TOP], x[:, _BOTTOM]) < EDGE_LINES
         ends = (x[:, _BOTTOM] == 0) & (x[:, FEATURES.index("sentence_end")] > 0) & (x[:, FEATURES.index("page_number")] == 0)
         running = ends & ((x[:, FEATURES.index("blank_before")] == 0) | (x[:, _REPEATS] < 3) & (x[:, FEATURES.index("words")] >= 4))
         near &= ~running  # the end of a paragraph
@@ -287,7 +336,7 @@ def broken_words(lines: DataFrame) -> DataFrame:
     right = F.regexp_extract("next_text", r"^([\p{L}\p{N}'’]+)", 1)
     own = F.regexp_extract("text", r"([\p{L}\p{N}'’]+-)[\p{L}\p{N}'’]+[-‐¬­]$", 1)
     return lines.filter("joins and not furniture").select(
-        "paper_id", "version", "line_no", "next_no", "mark_share", F.substring("text", -1, 1).alias("mark"),
+        "pid", "version", "line_no", "next_no", "mark_share", F.substring("text", -1, 1).alias("mark"),
         F.lower(left).alias("left"), F.lower(right).alias("right"), (own != "").alias("compound_left"), left.rlike(r"^\p{Lu}").alias("capital"),
     ).filter("left <> '' and right <> ''")
 
@@ -308,14 +357,14 @@ def vocabulary(lines: DataFrame) -> DataFrame:
 def hyphen_features(broken: DataFrame, words: DataFrame) -> DataFrame:
     """The broken words with the counts of what they may be: one word, a compound, or two words."""
     asked = broken.select(
-        "paper_id", "version", "line_no",
+        "pid", "version", "line_no",
         F.explode(F.array(F.struct(F.lit("joined").alias("what"), F.concat("left", "right").alias("word")), F.struct(F.lit("compound").alias("what"), F.concat_ws("-", "left", "right").alias("word")),
                           F.struct(F.lit("l").alias("what"), F.col("left").alias("word")), F.struct(F.lit("r").alias("what"), F.col("right").alias("word")))).alias("q"),
-    ).select("paper_id", "version", "line_no", "q.*")
+    ).select("pid", "version", "line_no", "q.*")
     needed = asked.groupBy("word").agg(F.count("*").alias("asked")).join(words.select("word", "n"), "word")
     counts = attach_group(asked, needed.select("word", "n", "asked"), ["word"], "asked", "inner")
-    wide = counts.groupBy("paper_id", "version", "line_no").agg(*[F.max(F.when(F.col("what") == w, F.col("n"))).alias(f"n_{w}") for w in ("joined", "compound", "l", "r")])
-    return broken.join(wide, ["paper_id", "version", "line_no"], "left").fillna(0, [f"n_{w}" for w in ("joined", "compound", "l", "r")])
+    wide = counts.groupBy("pid", "version", "line_no").agg(*[F.max(F.when(F.col("what") == w, F.col("n"))).alias(f"n_{w}") for w in ("joined", "compound", "l", "r")])
+    return broken.join(wide, ["pid", "version", "line_no"], "left").fillna(0, [f"n_{w}" for w in ("joined", "compound", "l", "r")])
 
 
 _HYPHEN_COLUMNS = ["mark", "mark_share", "left", "right", "n_joined", "n_compound", "n_l", "n_r", "compound_left"]
@@ -333,7 +382,7 @@ def _hyphen_matrix(frame: pd.DataFrame) -> np.ndarray:
 
 def fit_hyphens(broken: DataFrame) -> BoostedTrees:
     """Trains on words that occur whole elsewhere in one way only; half of the rows hide that, so fragments teach as well."""
-    keys = ("paper_id", "version", "line_no")
+    keys = ("pid", "version", "line_no")
     sample = hash_sample(broken.select(*keys, *_HYPHEN_COLUMNS), TRAINING_HYPHENS, *keys).toPandas().sort_values(["draw", "line_no"]).reset_index(drop=True)
     joined = (sample["n_joined"] >= 3) & (sample["n_compound"] * 20 < sample["n_joined"])
     compound = (sample["n_compound"] >= 3) & (sample["n_joined"] * 20 < sample["n_compound"])
@@ -457,17 +506,20 @@ def pair_features(read: str, n_read: int, low_read: float, true: str, n_true: in
 
 
 def _grams(word: str) -> list[str]:
-    """Character q-grams of a word's shape that one misreading leaves whole: all of it, its first and its last half."""
+    """Gapped q-grams of a word's shape that one more misreading leaves whole: the shape, and the shape without one of its
+    characters. They are as long as the word itself, so none is shared by many words."""
     s = shape(word)
-    half = max(2, (len(s) - 1) // 2)
-    return [f"={s}", f"^{s[:half]}", f"{s[-half:]}$"] if len(s) >= 4 else [f"={s}"]
+    if len(s) > LONG_WORD:
+        half = len(s) // 2
+        return [f"={s}", f"^{s[:half]}", f"{s[-half:]}$"]
+    return sorted({f"={s}", *(f"{s[:i]}{s[i + 1 :]}" for i in range(len(s)))}) if len(s) >= 4 else [f"={s}"]
 
 
 def candidate_words(words: DataFrame, letters) -> DataFrame:
     """(word, n, low, true, n_true, low_true): retrieval of corrections through joins on q-grams.
 
-    A word meets more frequent words of nearly its length with which it shares a q-gram; pairs further apart than two
-    edits fall away at once. A confusion of a pair of letters may change the shape so that no q-gram is left: each word
+    A word meets words four times as frequent of nearly its length with which it shares a q-gram; pairs further apart than
+    two edits fall away at once. A confusion of a pair of letters may change the shape so that no q-gram is left: each word
     also meets every more frequent word that one listed confusion leads back to, however often it occurs itself, and the
     most usual of all that a confusion leads back to, which the vocabulary may lack.
     """
@@ -485,14 +537,14 @@ def candidate_words(words: DataFrame, letters) -> DataFrame:
 
         return word.map(of)
 
-    plain = words.filter(r"word not like '%-%' and length(word) between 3 and 40 and word rlike '[\\p{L}].*[\\p{L}]'").select("word", "n", (F.col("n_low") / F.col("n")).alias("low"))
+    plain = words.filter(r"word not like '%-%' and length(word) >= 3 and word rlike '[\\p{L}].*[\\p{L}]'").select("word", "n", (F.col("n_low") / F.col("n")).alias("low"))
     keyed = plain.withColumn("gram", F.explode(grams("word"))).withColumn("size", F.length("word"))
-    right = keyed.filter("n >= 5").select("gram", F.col("word").alias("true"), F.col("n").alias("n_true"), F.col("low").alias("low_true"), F.col("size").alias("size_true"))
+    right = keyed.filter("n >= 4").select("gram", F.col("word").alias("true"), F.col("n").alias("n_true"), F.col("low").alias("low_true"), F.col("size").alias("size_true"))
     near = F.abs(F.col("size") - F.col("size_true")) <= 1
     met = keyed.join(right, "gram").filter(near & (F.col("n_true") >= 4 * F.col("n")) & (F.col("word") != F.col("true")))
     met = met.filter(F.levenshtein("word", "true", 2) >= 0).select("word", "n", "low", "true", "n_true", "low_true")
     other = words.select(F.col("word").alias("true"), F.col("n").alias("n_true"), (F.col("n_low") / F.col("n")).alias("low_true"))
-    led = plain.select("word", "n", "low", F.inline(sources("word"))).join(other, "true", "left").filter("usual or n_true >= 5 and n_true >= 4 * n")
+    led = plain.select("word", "n", "low", F.inline(sources("word"))).join(other, "true", "left").filter("usual or n_true >= 4 * n")
     return met.unionByName(led.select("word", "n", "low", "true", F.coalesce("n_true", F.lit(0)).alias("n_true"), F.coalesce("low_true", "low").alias("low_true"))).distinct()
 
 
@@ -534,7 +586,8 @@ def fit_words(words: DataFrame, letters: Letters) -> BoostedTrees:
         for a, b in zip(group, group[1:]):
             if abs(len(a) - len(b)) <= 1:
                 few, many = sorted((a, b), key=counts.get)
-                add(0.0, 1.0, few, counts[few], low[few], many, counts[many], low[many])
+                if counts[few] > 5 * (1 + MISREAD_RATE * counts[many]) or not is_known(few, many):  # else it may be one
+                    add(0.0, 1.0, few, counts[few], low[few], many, counts[many], low[many])
                 if low[few] < 0.1 and low[many] < 0.1:
                     add(0.0, 2.0, few, 1, 0.0, many, counts[many], low[many], new_read=True)
     if not y or min(y) == max(y):
@@ -584,15 +637,15 @@ class Repair:
 
     def tokens(self) -> DataFrame:
         """(paper_id, version, line_no, other_no, cut, word): words of running text; a broken word stands on two lines."""
-        ends = self.broken.filter("vanish").select("paper_id", "version", "line_no", F.lit(True).alias("cut_end"))
-        begins = self.broken.filter("vanish").select("paper_id", "version", F.col("next_no").alias("line_no"), F.lit(True).alias("cut_start")).distinct()
-        text = self.lines.filter("body and not furniture").select("paper_id", "version", "line_no", "text")
-        text = text.join(ends, ["paper_id", "version", "line_no"], "left").join(begins, ["paper_id", "version", "line_no"], "left")
+        ends = self.broken.filter("vanish").select("pid", "version", "line_no", F.lit(True).alias("cut_end"))
+        begins = self.broken.filter("vanish").select("pid", "version", F.col("next_no").alias("line_no"), F.lit(True).alias("cut_start")).distinct()
+        text = self.lines.filter("body and not furniture").select("pid", "version", "line_no", "text")
+        text = text.join(ends, ["pid", "version", "line_no"], "left").join(begins, ["pid", "version", "line_no"], "left")
         body = F.when(F.col("cut_end"), F.regexp_replace("text", r"[\p{L}\p{N}'’]+[-‐¬­]$", "")).otherwise(F.col("text"))
         body = F.when(F.col("cut_start"), F.regexp_replace(body, r"^[\p{L}\p{N}'’]+", "")).otherwise(body)
         none = F.lit(None).cast("bigint")
-        whole = text.select("paper_id", "version", "line_no", none.alias("other_no"), none.cast("int").alias("cut"), F.explode(F.array_distinct(F.regexp_extract_all(F.lower(body), F.lit(WORD), F.lit(0)))).alias("word"))
-        parted = self.broken.filter("vanish").select("paper_id", "version", "line_no", F.col("next_no").alias("other_no"), F.length("left").alias("cut"), F.concat("left", "right").alias("word"))
+        whole = text.select("pid", "version", "line_no", none.alias("other_no"), none.cast("int").alias("cut"), F.explode(F.array_distinct(F.regexp_extract_all(F.lower(body), F.lit(WORD), F.lit(0)))).alias("word"))
+        parted = self.broken.filter("vanish").select("pid", "version", "line_no", F.col("next_no").alias("other_no"), F.length("left").alias("cut"), F.concat("left", "right").alias("word"))
         return whole.unionByName(parted)
 
     def misread_tokens(self) -> DataFrame:
@@ -600,26 +653,26 @@ class Repair:
         # words that pass unhurt are by far the most: the misread ones are found by a join that AQE and Bloom filters prune
         met = self.tokens().join(self.misread.select("word", "true", "place", "chance"), "word")
         line = F.when(F.col("place") >= F.col("cut"), F.col("other_no")).otherwise(F.col("line_no"))
-        return met.select("paper_id", "version", line.alias("line_no"), "word", "true")
+        return met.select("pid", "version", line.alias("line_no"), "word", "true")
 
     def found(self) -> DataFrame:
         """(paper_id, line_no, kind), once each."""
-        kind = lambda frame, name: frame.select("paper_id", "line_no", F.lit(name).alias("kind"))
+        kind = lambda frame, name: frame.select(_paper(), "line_no", F.lit(name).alias("kind"))
         return kind(self.lines.filter("furniture"), "furniture").unionByName(kind(self.broken.filter("vanish"), "hyphen")).unionByName(kind(self.misread_tokens(), "glyph")).distinct()
 
     def paragraphs(self) -> DataFrame:
         """(paper_id, paragraphs): the repaired running text of each scanned context; tables stay where they were."""
-        fixes = self.misread_tokens().groupBy("paper_id", "version", "line_no").agg(F.collect_set(F.struct("word", "true")).alias("fixes"))
-        ends = self.broken.filter("vanish").select("paper_id", "version", "line_no", "next_no")
-        rows = self.lines.filter("not furniture").join(ends.withColumnRenamed("next_no", "goes_on"), ["paper_id", "version", "line_no"], "left").join(fixes, ["paper_id", "version", "line_no"], "left")
+        fixes = self.misread_tokens().groupBy("pid", "version", "line_no").agg(F.collect_set(F.struct("word", "true")).alias("fixes"))
+        ends = self.broken.filter("vanish").select("pid", "version", "line_no", "next_no")
+        rows = self.lines.filter("not furniture").join(ends.withColumnRenamed("next_no", "goes_on"), ["pid", "version", "line_no"], "left").join(fixes, ["pid", "version", "line_no"], "left")
         line = F.struct("line_no", "text", "body", "goes_on", "fixes", "page")
 
         @F.pandas_udf("array<string>")
         def assemble(lines: pd.Series) -> pd.Series:
             return lines.map(lambda rows: _assembled(sorted(rows, key=lambda r: r["line_no"])))
 
-        grouped = rows.groupBy("paper_id", "version").agg(F.collect_list(line).alias("lines"))  # the lines of one context
-        return grouped.select("paper_id", assemble("lines").alias("paragraphs"))
+        grouped = rows.groupBy("pid", "version").agg(F.collect_list(line).alias("lines"))  # the lines of one context
+        return grouped.select(_paper(), assemble("lines").alias("paragraphs"))
 
 
 def _assembled(rows: list[dict]) -> list[str]:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import text as t
 from tidemark.functions.json_salvage import first_json, leading_items, response_items
-from tidemark.functions.snippets import find_pages, marked_literal, marked_number, page_list
+from tidemark.functions.snippets import find_pages, find_snippets, marked_literal, marked_number, numbers_in, page_list
 from tidemark.sources import feeds
 from tidemark.streaming import ingest, stages
 
@@ -47,10 +47,20 @@ def test_pages(spark):
     frame = spark.createDataFrame(rows, "k string, context string, value string, attribute string, units string").withColumn("d", F.col("k"))
     got = {r.k: (r.page_number, r.page_matched) for r in find_pages(frame, frame.select("k", F.col("k").alias("d"), "context").drop("k"), "k", "d").collect()}
     assert got == {"a": (1, True), "b": (2, True), "c": (1, True), "d": (0, False), "e": (2, False), "f": (None, False), "g": (0, False), "h": (0, False)}
+    rows = frame.unionByName(spark.createDataFrame([("i", None, "28.4", None, None, "nowhere"), ("j", None, "28.4", None, None, None)], frame.schema))
+    texts = frame.select("d", "context").unionByName(spark.createDataFrame([("other", PAGES)], "d string, context string"))
+    shown = {r.k: r for r in find_snippets(rows, texts, "k", "d").collect()}
+    assert {k: (r.page_number, r.page_matched) for k, r in shown.items()} == got | {"i": (None, False), "j": (None, False)}
+    assert shown["a"].text == "value <mark>28.4</mark> and 1,234.50" and shown["c"].text == "value 28.4 and <mark>1,234.50</mark>" and shown["e"].text == "salinity 28.4 psu, 125.3"
+    assert shown["f"].text == "no tags" and shown["i"].text is None
+    assert find_pages(frame.limit(0), texts, "k", "d").count() == 0 and find_pages(frame, texts.limit(0), "k", "d").filter("page_matched or page_number is not null").count() == 0
+    for text, value, want in (("-5.0 and 5.0", "5.0", "-5.0 and <mark>5.0</mark>"), ("55 5", "5", "55 <mark>5</mark>"), ("125.3", "5", "125.3"), ("a|b", "a|b", "<mark>a|b</mark>"), ("1.1.1", "1.1", "1.1.1"), ("5", "5", "<mark>5</mark>"), ("ND,", "ND", "ND,")):
+        assert one(spark, lambda x, v: marked_literal(x, v), x=text, v=value) == want, text
+    assert sorted(one(spark, lambda x: numbers_in(x), x="3-5, 1,234.50; x12. .5")) == [-5.0, 3.0, 5.0, 12.0, 1234.5]
     assert one(spark, lambda x: page_list(x), x=PAGES)[1].text == "value 28.4 and 1,234.50"
     assert one(spark, lambda x, v: marked_literal(x, v), x="5 125.5 5.", v="5") == "<mark>5</mark> 125.5 5."
     frame = spark.createDataFrame([("1,234.50 and 9", 1234.5), (None, 1.0)], "t string, n double")
-    assert [r.x for r in frame.select(marked_number("t", "n").alias("x")).collect()] == ["<mark>1,234.50</mark> and 9", None]
+    assert [r.x for r in frame.select(marked_number(F.col("t"), F.col("n")).alias("x")).collect()] == ["<mark>1,234.50</mark> and 9", None]
 
 
 def test_json_salvage():

@@ -59,14 +59,19 @@ def slug(text: Column) -> Column:
 
 
 def without_footnote_mark(title: Column) -> Column:
-    """Drops footnote digits that are glued to the last word, unless the title ends in a formula."""
-    ends = reduce(lambda a, b: a | b, [title.endswith(e) for e in FORMULA_ENDINGS])
-    return F.when(ends, title).otherwise(F.regexp_replace(title, r"(?<=[A-Za-z>])\d{1,2}(?:,\d{1,2})*$", ""))
+    """Drops footnote numbers of one or two digits that are glued to the last word, unless the title ends in a formula."""
+    formula = reduce(lambda a, b: a | b, [title.endswith(e) for e in FORMULA_ENDINGS])
+    base = F.rtrim(title, F.lit("0123456789,"))
+    marks = F.split(F.substring(title, F.length(base) + 1, F.length(title)), ",")
+    glued = F.right(base, F.lit(1)).rlike("[A-Za-z>]") & F.forall(marks, lambda m: F.length(m).between(1, 2))
+    return F.when(~formula & glued, base).otherwise(title)
 
 
 def title_case(title: Column) -> Column:
-    """Raises the first letter of each word but minor ones inside; tags and inner capitals stay."""
+    """Raises the first letter of each word but minor ones inside; tags and inner capitals stay. A ``<`` that opens no tag
+    is dropped."""
     word = lambda t: t.rlike("^[A-Za-z0-9]")
+    is_tag = lambda s: F.startswith(s, F.lit("<")) & s.endswith(">") & (F.length(s) > 2)
 
     def cased(s: Column) -> Column:
         def one(t: Column, i: Column) -> Column:
@@ -79,7 +84,10 @@ def title_case(title: Column) -> Column:
         at = F.transform(tokens, lambda t, i: F.when(word(t), i))
         return let(F.struct(tokens.alias("tokens"), F.array_min(at).alias("first"), F.array_max(at).alias("last")), lambda s: F.when(s["first"].isNull(), title).otherwise(cased(s)))
 
-    return let(F.regexp_extract_all(title, F.lit(r"<[^>]+>|[A-Za-z0-9']+|[^A-Za-z0-9'<]+"), F.lit(0)), placed)
+    # cut around tags first, then the text between them where words begin and end
+    edges = "(?<=[A-Za-z0-9'])(?![A-Za-z0-9'])|(?<![A-Za-z0-9'])(?=[A-Za-z0-9'])"
+    pieces = F.transform(F.split(title, "(?=<)|(?<=>)"), lambda s: F.when(is_tag(s), F.array(s)).otherwise(F.split(F.replace(s, F.lit("<"), F.lit("")), edges)))
+    return let(F.filter(F.flatten(pieces), lambda t: t != ""), placed)
 
 
 def safe_title(title: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tidemark.catalogue import CANONICAL_UNITS, SALINITY_UNITS
-from tidemark.functions.text import filled, let, stripped
+from tidemark.functions.text import filled, let, squeezed, stripped
 
 #: Raised and lowered digits and signs, and the characters they stand for.
 SHIFTED, PLAIN = "⁰¹²³⁴⁵⁶⁷⁸⁹⁻−‑₀₁₂₃₄₅₆₇₈₉₋", "0123456789---0123456789-"
@@ -19,30 +19,42 @@ BASES = ("mol", "g", "atm", "eq")
 NUMERATORS = {prefix + base: (scale, base) for (prefix, scale), base in product(PREFIXES.items(), BASES)}
 
 
+#: Names of units that stand for a symbol, in any letter case; and prefixes that a molarity may have.
+SYMBOLS = {"liter": "L", "liters": "L", "litre": "L", "litres": "L", "day": "d", "hr": "h", "yr": "y"}
+MOLAR_PREFIXES = ("", "n", "p", "µ", "u", "m", "c")
+#: Units before which a plain u means micro.
+MICRO_UNITS = ("mol", "g", "L", "atom")
+#: One token of a unit: a name with a negative exponent (``m-2``, ``L^-1``), another word, or a sign.
+_TOKEN = r"([A-Za-zµ]+)\^?-([0-9]+)|[A-Za-zµ0-9_]+|[\s\S]"
+
+
+def _names() -> dict[str, str]:
+    micro = {"u" + unit: "µ" + unit for unit in MICRO_UNITS}
+    molar = {prefix + "M": prefix.replace("u", "µ") + "mol/L" for prefix in MOLAR_PREFIXES}
+    return micro | molar
+
+
 def unit_form(raw: Column) -> Column:
-    """One spelling for a unit's many: ``nmol L⁻¹``, ``nM`` and ``nmol/litre`` are ``nmol/L``. Empty is null."""
-    s = filled(stripped(raw))
-    s = F.translate(F.translate(s, "μ  ", "µ  "), SHIFTED, PLAIN)
-    rules = (
-        (r"(?U)\s+", " "),
-        (r"(?iU)\blit(?:er|re)s?\b", "L"),
-        (r"(?iU)\bday\b", "d"),
-        (r"(?iU)\bhr\b", "h"),
-        (r"(?iU)\byr\b", "y"),
-        (r"\^\{", "^"),
-        (r"\}", ""),
-        (r"(?U)(?<![A-Za-z])u(?=(?:mol|g|L|M|atom)\b)", "µ"),
-        (r"(?U)\b([npµmc]?)M\b", "$1mol/L"),
-        (r"(?iU)\bper meter\b", "/m"),
-        (r"(?U)([A-Za-zµ])-(\d+)\b", "$1^-$2"),
-        (r"([A-Za-zµ]+)\^-1(?!\d)", "/$1"),
-        (r"([A-Za-zµ]+)\^-(\d+)", "/$1^$2"),
-        (r"(?U)\s*/\s*", "/"),
-        (r"(?U)\s+", " "),
-    )
-    for pattern, put in rules:
-        s = F.regexp_replace(s, pattern, put)
-    return stripped(s)
+    """One spelling for a unit's many: ``nmol L⁻¹``, ``nM`` and ``nmol/litre`` are ``nmol/L``. Empty is null.
+
+    The text is cut into tokens; names are looked up one by one, and a name with a negative exponent goes below a slash.
+    """
+    text = F.translate(F.translate(filled(stripped(raw)), "μ\u202f\u00a0", "µ  "), SHIFTED, PLAIN)
+    text = F.replace(F.replace(text, F.lit("^{"), F.lit("^")), F.lit("}"), F.lit(""))
+    names = F.create_map(*[F.lit(x) for pair in _names().items() for x in pair])
+    symbols = F.create_map(*[F.lit(x) for pair in SYMBOLS.items() for x in pair])
+    called = lambda name: F.coalesce(symbols[F.lower(name)], names[name], name)
+
+    def put(token: Column) -> Column:
+        below = F.concat(F.lit("/"), called(token["name"]), F.when(token["power"] == "1", "").otherwise(F.concat(F.lit("^"), token["power"])))
+        return F.when(token["name"] != "", below).otherwise(called(token["raw"]))
+
+    def printed(s: Column) -> Column:
+        part = lambda i: F.regexp_extract_all(s, F.lit(_TOKEN), F.lit(i))
+        return F.array_join(F.transform(F.arrays_zip(part(0).alias("raw"), part(1).alias("name"), part(2).alias("power")), put), "")
+
+    tidy = lambda s: F.array_join(F.transform(F.split(s, "/"), squeezed), "/")
+    return tidy(F.regexp_replace(let(squeezed(text), printed), r"(?i)\bper meter\b", "/m"))
 
 
 def canonical_unit(attribute: Column) -> Column:

@@ -53,6 +53,30 @@ def test_build(spark, tmp_path):
     assert len(text) == 5 and text[0].split(",")[:3] == ["entity_id", "entity_name", "entity_latitude"] and "valid" in text[1]
 
 
+def test_unknown_models_and_hidden_characters(spark):
+    """A null model version is a model like others, and reports show what can't be seen."""
+    rows = [extraction(1, version=None), extraction(2, version="v1"), extraction(3, value="a\u00a0b\r\u202f\x07"), extraction(4, attribute="x\n'\"\\")]
+    built = w.build(papers(spark, 1), spark.createDataFrame(rows, EXTRACTIONS))
+    facts = {r.source_extraction_id: r.extraction_model_id for r in built.extractions_fact.collect()}
+    names = {r.model_id: r.model_name for r in built.model_dim.collect()}
+    assert {i: names[m] for i, m in facts.items()} == {1: None, 2: "v1"}
+    details = {r.extraction_id: r.detail for r in built.rejects.collect()}
+    assert details == {3: "value=" + repr("a\u00a0b\r\u202f\x07"), 4: "attribute=" + repr("x\n'\"\\")}
+
+
+def test_enrichment_and_samples(spark):
+    known = spark.createDataFrame([(1, "d1", None, None), (2, "d2", "T", None), (3, None, None, None)], "id int, doi string, title string, publisher string")
+    found = spark.createDataFrame([("d1", "B", "P"), ("d1", "A", "Q"), ("d2", "Z", "R"), (None, "N", "N")], "doi string, title string, publisher string")
+    assert sorted(map(tuple, a.enriched(known, found, "doi", ["title", "publisher"]).collect())) == [(1, "d1", "A", "Q"), (2, "d2", "T", "R"), (3, None, None, None)]
+    rows = spark.range(500)
+    drawn = [r.id for r in a.random_rows(rows, "id", 40, 3).collect()]
+    assert len(set(drawn)) == 40 and drawn == [r.id for r in a.random_rows(rows.repartition(7), "id", 40, 3).collect()] and drawn != [r.id for r in a.random_rows(rows, "id", 40, 4).collect()]
+    calls = spark.createDataFrame([("m", 3, None), ("m", 4, 5), ("n", None, None)], "model string, prompt int, completion int")
+    assert sorted(map(tuple, a.usage_totals(calls, ["prompt", "completion"], ["model"]).collect())) == [("m", 2, 7, 5), ("n", 1, 0, 0)]
+    times = spark.sql("select timestamp'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, i * 30) as t from (select explode(sequence(0, 4)) as i)")
+    assert tuple(a.per_hour(times, "t").first()) == (5, 2.0, 2.5) and a.per_hour(times.limit(0), "t").first()[0] == 0
+
+
 def test_build_of_nothing(spark):
     built = w.build(papers(spark), spark.createDataFrame([], EXTRACTIONS))
     assert built.extractions_fact.count() == 0 and built.rejects.count() == 0 and built.entity_dim.count() == 0

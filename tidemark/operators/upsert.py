@@ -6,7 +6,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tidemark.functions.text import filled
 from tidemark.session import checkpointed
@@ -28,8 +27,9 @@ def insert_if_absent(target: DataFrame, batch: DataFrame, order: str) -> DataFra
     bucket = F.when(F.col("__doi").isNotNull(), 1).when(F.col("__openalex_id").isNotNull(), 2).when(F.col("__semantic_scholar_id").isNotNull(), 3)
     rows = clean.withColumn("__rank", F.struct(bucket.alias("b"), order)).filter("__rank.b is not null")
     for c in IDENTIFIERS:
-        known = target.select(filled(F.col(c)).alias(f"__{c}")).filter(f"__{c} is not null").distinct()
-        rows = rows.join(known.withColumn(f"__taken_{c}", F.lit(True)), f"__{c}", "left")
+        known = target.select(filled(F.col(c)).alias(f"__{c}")).filter(f"__{c} is not null").distinct().withColumn(f"__taken_{c}", F.lit(True))
+        without = rows.filter(F.col(f"__{c}").isNull()).withColumn(f"__taken_{c}", F.lit(None).cast("boolean"))  # nulls don't shuffle to one task
+        rows = rows.filter(F.col(f"__{c}").isNotNull()).join(known, f"__{c}", "left").unionByName(without)
     taken = lambda c: F.coalesce(F.col(f"__taken_{c}"), F.lit(False))
     lost = F.when(F.col("__rank.b") == 1, any_of([taken(c) for c in IDENTIFIERS])).when(F.col("__rank.b") == 2, taken("openalex_id")).otherwise(taken("semantic_scholar_id"))
     open_rows = checkpointed(rows.filter(~lost).select(*batch.columns, *[f"__{c}" for c in IDENTIFIERS], "__rank"))
@@ -100,6 +100,7 @@ def any_of(conditions: list[Column]) -> Column:
 
 
 def latest_per_key(rows: DataFrame, key: str, order: str) -> DataFrame:
-    """One row per key, the one with the greatest ``order``."""
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(F.desc(order)))
-    return rows.withColumn("__rank", rank).filter("__rank = 1").drop("__rank")
+    """One row per key, the one with the greatest ``order``; maxima combine before the shuffle, so no key is hot."""
+    others = [c for c in rows.columns if c not in (key, order)]
+    best = rows.groupBy(key).agg(F.max(F.struct(order, *others)).alias("__best"))
+    return best.select(*[F.col(c) if c == key else F.col(f"__best.{c}") for c in rows.columns])

@@ -166,9 +166,59 @@ def recent(papers: DataFrame, limit: int) -> DataFrame:
 
 
 def papers_with_extractions(papers: DataFrame, extractions: DataFrame, ids: DataFrame) -> DataFrame:
-    """(pos, id, title, extractions) in the order asked for; null title and no extractions for an unknown id."""
-    rows = extractions.groupBy(F.col("paper_id").alias("id")).agg(F.sort_array(F.collect_list(F.struct(F.col("id").alias("extraction_id"), "data.attribute", "data.value", "data.units"))).alias("extractions"))
-    return ids.join(papers.select("id", "title"), "id", "left").join(rows, "id", "left").orderBy("pos").select("pos", "id", "title", "extractions")
+    """(pos, id, title, extraction_id, attribute, value, units) in the order asked for, a paper's extractions by id; null
+    title and no extraction for an unknown id. One row per extraction: a paper may have more than one row can hold."""
+    rows = extractions.select(F.col("paper_id").alias("id"), F.col("id").alias("extraction_id"), "data.attribute", "data.value", "data.units")
+    return ids.select("pos", "id").join(papers.select("id", "title"), "id", "left").join(rows, "id", "left").orderBy("pos", "extraction_id").select("pos", "id", "title", "extraction_id", "attribute", "value", "units")
+
+
+def facts_by_id(fact: DataFrame, entity: DataFrame, event: DataFrame, paper: DataFrame, ids: DataFrame) -> DataFrame:
+    """The facts of the given extraction ids with their paper's title and doi."""
+    rows = star(fact, entity, paper).join(ids.select(F.col("id").alias("source_extraction_id")).distinct(), "source_extraction_id", "left_semi").join(event, "event_id")
+    return rows.select(*fact_columns(), "title", "doi")
+
+
+def funnel(papers: DataFrame, extractions: DataFrame, contexts: DataFrame) -> DataFrame:
+    """(status, papers, extractions, transcribed): how far the papers of each status came."""
+    counts = extractions.groupBy(F.col("paper_id").alias("id")).agg(F.count("*").alias("n"))
+    texts = contexts.select(F.col("paper_id").alias("id")).distinct().withColumn("text", F.lit(1))
+    rows = papers.select("id", "status").join(counts, "id", "left").join(texts, "id", "left")
+    return rows.groupBy("status").agg(F.count("*").alias("papers"), F.coalesce(F.sum("n"), F.lit(0)).alias("extractions"), F.count("text").alias("transcribed"))
+
+
+def backfill_candidates(papers: DataFrame) -> DataFrame:
+    """Papers with a PDF address that lack authors or a publication date."""
+    lacks = F.col("authors").isNull() | (F.size("authors") == 0) | F.col("publication_date").isNull()
+    return papers.filter((F.coalesce("oa_pdf_url", F.lit("")) != "") & lacks)
+
+
+def enriched(papers: DataFrame, found: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """Papers with missing columns filled from a lookup by a key such as the doi; what is known stays. Of several answers
+    to a key the smallest counts; null keys meet nothing."""
+    answers = found.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("__key")).agg(F.min(F.struct(*columns)).alias("__put"))
+    joined = papers.join(answers, F.col(key) == F.col("__key"), "left")
+    return joined.select(*[F.coalesce(c, F.col(f"__put.{c}")).alias(c) if c in columns else F.col(c) for c in papers.columns])
+
+
+def unpaged(extractions: DataFrame) -> DataFrame:
+    """Extractions whose page isn't known."""
+    return extractions.filter("page_number is null")
+
+
+def random_rows(rows: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
+    """``n`` rows drawn without bias and the same ones for a seed: those with the smallest hashes of their key."""
+    return rows.orderBy(F.xxhash64(F.lit(seed), key), key).limit(n)
+
+
+def usage_totals(calls: DataFrame, columns: list[str], by: list[str]) -> DataFrame:
+    """Number of calls and sums of usage columns per group; a missing figure counts as none."""
+    return calls.groupBy(*by).agg(F.count("*").alias("calls"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in columns])
+
+
+def per_hour(rows: DataFrame, at: str) -> DataFrame:
+    """(n, hours, per_hour) of rows between the first and the last moment; no rate for one moment."""
+    hours = (F.unix_micros(F.max(at)) - F.unix_micros(F.min(at))) / 3.6e9
+    return rows.agg(F.count(at).alias("n"), hours.alias("hours"), F.when(hours > 0, F.count(at) / hours).alias("per_hour"))
 
 
 def page_of_context(contexts: DataFrame, paper_id: int, page: int) -> DataFrame:

@@ -7,18 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.catalogue import CANONICAL_UNITS, SALINITY_UNITS
 from tidemark.functions import text as t
 from tidemark.functions.geo import EARTH_RADIUS_KM, haversine_km
-from tidemark.functions.qualifier import FIELDS, PLAIN, RAISED, SHAPES, qualifier
-from tidemark.functions.snippets import find_pages, page_list
-from tidemark.functions.units import NUMERATORS, canonical_factor, unit_form
+from tidemark.functions.qualifier import FIELDS, qualifier
+from tidemark.functions.snippets import find_pages, find_snippets, page_list
+from tidemark.functions.units import canonical_factor, unit_form
 from tidemark.operators.dedup import duplicate_flags, majority
 from tidemark.operators.entities import point_clusters, resolve_entities
 from tidemark.operators.numbering import first_seen_ids
 from tidemark.operators.upsert import advance_marks, insert_if_absent, latest_per_key, on_or_after
 from tidemark.plans import analytics as a
-from tidemark.plans.warehouse import EVENT_KEY, QUALIFIER_KEY, Settings, accepted, build, judged, model_dimension, paper_dimension
+from tidemark.plans.warehouse import EVENT_KEY, QUALIFIER_KEY, Settings, accepted, build, judged, model_dimension, paper_dimension, with_id
+from tidemark.session import checkpointed
 from tidemark.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,36 +35,33 @@ def query(sql: str | None = None):
     return add
 
 
-# --- parsing and converting values
-
-_ALIASES = {"range_dash": "rd", "range_to": "rt", "plus_minus": "pm", "at_most": "am", "above": "ab", "sci_e": "se", "sci_times": "st", "plain": "pl"}
-
-
-def _sql_text(column: str) -> str:
-    return f"translate(replace(regexp_replace({column}, '^\\s+|\\s+$', '', 'g'), ',', ''), '{RAISED}', '{PLAIN}')"
-
-
-def _part(shape: str, i: int) -> str:
-    return f"TRY_CAST(nullif(regexp_extract(s, '{SHAPES[shape]}', {i}), '') AS DOUBLE)"
-
-
-def _like(shape: str) -> str:
-    return f"regexp_matches(s, '{SHAPES[shape]}')"
-
-
-_SHAPE_SQL = " ".join(f"WHEN {_like(s)} THEN '{_ALIASES[s]}'" for s in SHAPES)
-QUALIFIED_SQL = f"""
-SELECT *, CASE k WHEN 'rd' THEN 'range' WHEN 'rt' THEN 'range' WHEN 'pm' THEN 'plus_minus' WHEN 'am' THEN 'less_than_or_equal' WHEN 'ab' THEN 'greater_than'
-   WHEN 'se' THEN 'exact' WHEN 'st' THEN 'exact' WHEN 'pl' THEN 'exact' END AS confidence_region,
- CASE k WHEN 'pm' THEN {_part("plus_minus", 1)} WHEN 'se' THEN {_part("sci_e", 1)} * pow(10.0, {_part("sci_e", 2)}) WHEN 'st' THEN {_part("sci_times", 1)} * pow(10.0, {_part("sci_times", 2)})
-   WHEN 'pl' THEN {_part("plain", 1)} END AS quantity,
- CASE k WHEN 'rd' THEN least({_part("range_dash", 1)}, {_part("range_dash", 2)}) WHEN 'rt' THEN least({_part("range_to", 1)}, {_part("range_to", 2)}) END AS range_min,
- CASE k WHEN 'rd' THEN greatest({_part("range_dash", 1)}, {_part("range_dash", 2)}) WHEN 'rt' THEN greatest({_part("range_to", 1)}, {_part("range_to", 2)}) END AS range_max,
- CASE k WHEN 'pm' THEN {_part("plus_minus", 1)} - {_part("plus_minus", 2)} END AS confidence_min,
- CASE k WHEN 'pm' THEN {_part("plus_minus", 1)} + {_part("plus_minus", 2)} END AS confidence_max,
- CASE k WHEN 'am' THEN {_part("at_most", 1)} END AS less_than_or_equal,
- CASE k WHEN 'ab' THEN {_part("above", 1)} END AS greater_than
-FROM (SELECT *, CASE {_SHAPE_SQL} END AS k FROM (SELECT *, {_sql_text("data.value")} AS s FROM extractions))
+# --- parsing and converting values; the SQL reads values and units from their description, with literals of its own
+
+#: One value read from left to right: frame, first number, what follows it, the second number behind its sign.
+QUALIFIED_SQL = """
+WITH t AS (SELECT *, translate(replace(regexp_replace(data.value, '^\\s+|\\s+$', '', 'g'), ',', ''), '⁰¹²³⁴⁵⁶⁷⁸⁹⁻−‑', '0123456789---') AS s FROM extractions),
+f AS (SELECT *, CASE WHEN s[1] IN ('<', '≤') THEN 'below' WHEN s[1] IN ('>', '≥') THEN 'above' WHEN s[1] = '(' THEN 'bracket' ELSE 'none' END AS mark FROM t),
+i AS (SELECT *, ltrim(CASE mark WHEN 'none' THEN s WHEN 'bracket' THEN s[2:] ELSE CASE WHEN s[2] = '=' THEN s[3:] ELSE s[2:] END END) AS inner_text FROM f),
+d AS (SELECT *, rtrim(inner_text, ')*% ') AS body FROM i),
+n AS (SELECT *, ltrim(inner_text[length(body) + 1:]) AS tail, regexp_extract(body, '^-?[0-9]+([.][0-9]+)?') AS one FROM d),
+r AS (SELECT *, ltrim(body[length(one) + 1:]) AS rest FROM n),
+l AS (SELECT *, CASE WHEN one IS NULL OR one = '' THEN NULL WHEN rest = '' THEN 'alone' WHEN rest[1] IN ('-', '–', '—') THEN 'dash' WHEN lower(rest[:2]) = 'to' THEN 'word' WHEN rest[1] = '±' OR rest[:2] = '+-' OR rest[:3] = '+/-' THEN 'margin'
+  WHEN lower(rest[1]) = 'e' THEN 'e' WHEN rest[1] IN ('×', 'x') AND ltrim(rest[2:])[:2] = '10' THEN 'ten' END AS link FROM r),
+o AS (SELECT *, CASE link WHEN 'dash' THEN ltrim(rest[2:]) WHEN 'word' THEN ltrim(rest[3:]) WHEN 'margin' THEN ltrim(ltrim(rest, '±+/')[CASE WHEN rest[1] = '±' THEN 1 ELSE 2 END:]) WHEN 'e' THEN ltrim(rest[2:])
+  WHEN 'ten' THEN ltrim(ltrim(rest[2:])[3:], '^') END AS two FROM l),
+k AS (SELECT *, TRY_CAST(one AS DOUBLE) AS a, TRY_CAST(two AS DOUBLE) AS b, CASE
+  WHEN mark IN ('below', 'above') THEN CASE WHEN link = 'alone' AND tail IN ('', '%') THEN CASE mark WHEN 'below' THEN 'less_than_or_equal' ELSE 'greater_than' END END
+  WHEN link = 'dash' AND regexp_full_match(two, '-?[0-9]+([.][0-9]+)?') AND tail IN ('', ')', '%', ')%') THEN 'range'
+  WHEN mark = 'bracket' THEN NULL
+  WHEN link = 'word' AND regexp_full_match(two, '-?[0-9]+([.][0-9]+)?') AND tail = '' THEN 'range'
+  WHEN link = 'margin' AND regexp_full_match(two, '-?[0-9]+([.][0-9]+)?') AND tail IN ('', '%') THEN 'plus_minus'
+  WHEN link = 'e' AND regexp_full_match(two, '[+-]?[0-9]+') AND tail = '' THEN 'power'
+  WHEN link = 'ten' AND regexp_full_match(two, '-?[0-9]+') AND tail = '' THEN 'power'
+  WHEN link = 'alone' AND tail IN ('', '*', '%', '*%') THEN 'exact' END AS kind FROM o)
+SELECT *, CASE kind WHEN 'power' THEN 'exact' ELSE kind END AS confidence_region, CASE kind WHEN 'exact' THEN a WHEN 'plus_minus' THEN a WHEN 'power' THEN a * pow(10.0, b) END AS quantity,
+ CASE kind WHEN 'range' THEN least(a, b) END AS range_min, CASE kind WHEN 'range' THEN greatest(a, b) END AS range_max,
+ CASE kind WHEN 'plus_minus' THEN a - b END AS confidence_min, CASE kind WHEN 'plus_minus' THEN a + b END AS confidence_max,
+ CASE kind WHEN 'less_than_or_equal' THEN a END AS less_than_or_equal, CASE kind WHEN 'greater_than' THEN a END AS greater_than FROM k
 """
 
 
@@ -74,33 +71,32 @@ def parse_qualifier(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("id", *[F.col(f"q.{f}").alias(f) for f in FIELDS])
 
 
-_FORM_RULES = (
-    (r"\\s+", " ", "g"), (r"\\blit(er|re)s?\\b", "L", "gi"), (r"\\bday\\b", "d", "gi"), (r"\\bhr\\b", "h", "gi"), (r"\\byr\\b", "y", "gi"), (r"\\^\\{", "^", "g"), (r"\\}", "", "g"),
-    (r"(^|[^A-Za-z])u((mol|g|L|M|atom)\\b)", r"\\1µ\\2", "g"), (r"\\b([npmc]?)M\\b", r"\\1mol/L", "g"), (r"\\bper meter\\b", "/m", "gi"), (r"([A-Za-zµ])-([0-9]+)\\b", r"\\1^-\\2", "g"),
-    (r"([A-Za-zµ]+)\\^-1($|[^0-9])", r"/\\1\\2", "g"), (r"([A-Za-zµ]+)\\^-([0-9]+)", r"/\\1^\\2", "g"), (r"\\s*/\\s*", "/", "g"), (r"\\s+", " ", "g"), (r"^\\s+|\\s+$", "", "g"),
-)
-
-
-def _sql_form(column: str) -> str:
-    from tidemark.functions.units import PLAIN as plain, SHIFTED
+def _sql_called(x: str) -> str:
+    """A unit's name as its symbol."""
+    return f"""CASE WHEN lower({x}) IN ('liter', 'liters', 'litre', 'litres') THEN 'L' WHEN lower({x}) = 'day' THEN 'd' WHEN lower({x}) = 'hr' THEN 'h' WHEN lower({x}) = 'yr' THEN 'y'
+ WHEN {x} IN ('umol', 'ug', 'uL', 'uatom') THEN 'µ' || {x}[2:] WHEN {x} IN ('M', 'nM', 'pM', 'µM', 'mM', 'cM') THEN rtrim({x}, 'M') || 'mol/L' WHEN {x} = 'uM' THEN 'µmol/L' ELSE {x} END"""
 
-    s = f"translate(translate(nullif(regexp_replace({column}, '^\\s+|\\s+$', '', 'g'), ''), 'μ\u202f\u00a0', 'µ  '), '{SHIFTED}', '{plain}')"
-    for pattern, put, flags in _FORM_RULES:
-        plain_pattern, plain_put = pattern.replace("\\\\", "\\"), put.replace("\\\\", "\\")
-        s = f"regexp_replace({s}, '{plain_pattern}', '{plain_put}', '{flags}')"
-    return s
 
-
-_NUMERATORS_SQL = ", ".join(f"('{token}', {scale!r}, '{base}')" for token, (scale, base) in NUMERATORS.items())
-_CANONICAL_SQL = ", ".join(f"('{k}', '{v}')" for k, v in CANONICAL_UNITS.items())
 #: Distinct (attribute, units) with their form and factor.
 UNITS_SQL = f"""
-WITH num(token, scale, base) AS (VALUES {_NUMERATORS_SQL}), goal(attribute, canonical) AS (VALUES {_CANONICAL_SQL}),
-u AS (SELECT DISTINCT data.attribute AS attribute, data.units AS units, {_sql_form("data.units")} AS form FROM extractions),
+WITH prefixes(prefix, scale) AS (VALUES ('p', 1e-12), ('n', 1e-9), ('µ', 1e-6), ('m', 1e-3), ('c', 1e-2), ('d', 1e-1), ('', 1.0), ('da', 1e1), ('h', 1e2), ('k', 1e3), ('M', 1e6), ('G', 1e9)),
+num AS (SELECT prefix || base AS token, scale, base FROM prefixes, (VALUES ('mol'), ('g'), ('atm'), ('eq')) AS b(base)),
+goal(attribute, canonical) AS (VALUES ('salinity', 'psu'), ('turbidity', 'NTU'), ('suspended_particulate_matter', 'mg/L'), ('light_attenuation', '/m'), ('dissolved_oxygen', 'mg/L'), ('sediment_oxygen_demand', 'mmol O2/m^2/d'),
+ ('pco2', 'µatm'), ('dissolved_inorganic_carbon', 'µmol/kg'), ('total_alkalinity', 'µmol/kg'), ('co2_flux', 'mmol/m^2/d'), ('dissolved_organic_carbon', 'mg/L'), ('particulate_organic_carbon', 'mg/L'),
+ ('net_primary_production', 'g C/m^2/d'), ('gross_primary_production', 'g C/m^2/d'), ('chlorophyll', 'µg/L'), ('nitrate', 'µmol/L'), ('ammonium', 'µmol/L'), ('total_nitrogen', 'µg/L'), ('denitrification', 'µmol N/m^2/h'),
+ ('nitrification', 'µmol N/m^2/h'), ('nitrogen_fixation', 'µmol N/m^2/h'), ('phosphate', 'µmol/L'), ('silicate', 'µmol/L')),
+raw AS (SELECT DISTINCT data.attribute AS attribute, data.units AS units FROM extractions),
+clean AS (SELECT *, replace(replace(regexp_replace(regexp_replace(translate(translate(nullif(regexp_replace(units, '^\\s+|\\s+$', '', 'g'), ''), 'μ\u202f\u00a0', 'µ  '), '⁰¹²³⁴⁵⁶⁷⁸⁹⁻−‑₀₁₂₃₄₅₆₇₈₉₋', '0123456789---0123456789-'), '\\s+', ' ', 'g'), '^ | $', '', 'g'), '^{{', '^'), '}}', '') AS s FROM raw),
+token AS (SELECT attribute, units, s, unnest(regexp_extract_all(s, '([A-Za-zµ]+)\\^?-([0-9]+)|[A-Za-zµ0-9_]+|[\\s\\S]', 0)) AS t, unnest(range(1, 1 + len(regexp_extract_all(s, '([A-Za-zµ]+)\\^?-([0-9]+)|[A-Za-zµ0-9_]+|[\\s\\S]', 0)))) AS place FROM clean WHERE s IS NOT NULL),
+cut AS (SELECT *, regexp_extract(t, '^([A-Za-zµ]+)\\^?-([0-9]+)$', 1) AS name, regexp_extract(t, '^([A-Za-zµ]+)\\^?-([0-9]+)$', 2) AS power FROM token),
+said AS (SELECT *, CASE WHEN name <> '' THEN '/' || {_sql_called("name")} || CASE WHEN power = '1' THEN '' ELSE '^' || power END ELSE {_sql_called("t")} END AS x FROM cut),
+built AS (SELECT attribute, units, regexp_replace(string_agg(x, '' ORDER BY place), '(?i)\\bper meter\\b', '/m', 'g') AS y FROM said GROUP BY attribute, units),
+u AS (SELECT raw.attribute, raw.units, array_to_string(list_transform(string_split(y, '/'), lambda z: regexp_replace(regexp_replace(z, '\\s+', ' ', 'g'), '^ | $', '', 'g')), '/') AS form
+  FROM raw LEFT JOIN built ON built.attribute IS NOT DISTINCT FROM raw.attribute AND built.units IS NOT DISTINCT FROM raw.units),
 p AS (SELECT u.*, canonical, split_part(form, '/', 1) AS top, split_part(canonical, '/', 1) AS goal_top,
   CASE WHEN contains(form, '/') THEN substr(form, strpos(form, '/') + 1) END AS below, CASE WHEN contains(canonical, '/') THEN substr(canonical, strpos(canonical, '/') + 1) END AS goal_below
   FROM u LEFT JOIN goal USING (attribute))
-SELECT p.attribute, p.units, form, canonical AS units_canonical, CASE WHEN (p.attribute = 'salinity' AND form IN ({", ".join(f"'{x}'" for x in SALINITY_UNITS)})) OR form = canonical THEN 1.0::DOUBLE
+SELECT p.attribute, p.units, form, canonical AS units_canonical, CASE WHEN (p.attribute = 'salinity' AND form IN ('psu', 'PSU', 'ppt', 'g/kg', '‰')) OR form = canonical THEN 1.0::DOUBLE
   WHEN below = goal_below AND n.base = g.base THEN n.scale::DOUBLE / g.scale::DOUBLE END AS factor
 FROM p LEFT JOIN num n ON n.token = top LEFT JOIN num g ON g.token = goal_top
 """
@@ -119,7 +115,7 @@ SELECT q.id AS extraction_id, q.paper_id, q.model_version, q.schema_name, q.data
  q.data.sub_location AS sub_location, q.data.additional_details AS additional_details, q.page_number, CAST(q.confidence AS DOUBLE) AS confidence, c.units_canonical, c.factor, q.confidence_region,
  q.quantity, q.range_min, q.range_max, q.confidence_min, q.confidence_max, q.less_than_or_equal, q.greater_than,
  CASE WHEN NOT EXISTS (SELECT 1 FROM papers p WHERE p.id = q.paper_id) THEN 'orphaned_paper'
-  WHEN q.data.attribute IS NULL OR q.data.attribute NOT IN ({", ".join(f"'{x}'" for x in CANONICAL_UNITS)}) THEN 'unknown_attribute'
+  WHEN c.units_canonical IS NULL THEN 'unknown_attribute'
   WHEN q.confidence_region IS NULL THEN 'unparseable_value' WHEN c.factor IS NULL THEN 'unknown_unit' END AS reason
 FROM q LEFT JOIN conv c ON c.attribute IS NOT DISTINCT FROM q.data.attribute AND c.units IS NOT DISTINCT FROM q.data.units
 """
@@ -233,16 +229,15 @@ def resolved_entities(spark: SparkSession, folder: str) -> DataFrame:
     return resolve_entities(rows)[0]
 
 
-@query("SELECT COUNT(*) AS source_rows, COUNT(*) AS facts_and_rejects, 0 AS violations FROM extractions")
+@query(f"SELECT COUNT(*) AS source_rows, COUNT(reason) AS rejected, COUNT(*) - COUNT(reason) AS facts_and_repeats, 0 AS violations FROM ({JUDGED_SQL})")
 def warehouse_balance(spark: SparkSession, folder: str) -> DataFrame:
-    from tidemark.plans.warehouse import violations
+    from tidemark.plans.warehouse import REASONS, violations
 
-    extractions = table(spark, folder, "extractions")
-    wh = build(table(spark, folder, "papers"), extractions)
-    both = wh.extractions_fact.select(F.col("source_extraction_id").alias("extraction_id")).unionByName(wh.rejects.select("extraction_id"))
-    counts = extractions.agg(F.count("*").alias("source_rows"))
-    n = both.count()
-    return counts.withColumn("facts_and_rejects", F.lit(n).cast("bigint")).withColumn("violations", F.lit(violations(wh).count()))
+    wh = build(table(spark, folder, "papers"), table(spark, folder, "extractions"))
+    repeat = F.col("reason") == REASONS[-1]
+    rows = wh.extractions_fact.select(F.lit(None).cast("string").alias("reason")).unionByName(wh.rejects.select("reason"))
+    counted = rows.agg(F.count("*").alias("source_rows"), F.count(F.when(~repeat, 1)).alias("rejected"), F.count(F.when(repeat | F.col("reason").isNull(), 1)).alias("facts_and_repeats"))
+    return counted.withColumn("violations", F.lit(violations(wh).count()))
 
 
 @query()
@@ -259,9 +254,10 @@ def watermark_advance(spark: SparkSession, folder: str) -> DataFrame:
     return advance_marks(table(spark, folder, "crawl_state"), seen)
 
 
-@query("SELECT p.id FROM papers p LEFT JOIN crawl_state c ON c.source = p.discovered_from WHERE c.watermark IS NULL OR p.publication_date >= c.watermark")
+@query("SELECT p.id FROM papers p LEFT JOIN crawl_state c ON c.source = p.discovered_from WHERE c.watermark IS NULL OR p.publication_date >= c.watermark - INTERVAL 4 YEAR")
 def since_watermark(spark: SparkSession, folder: str) -> DataFrame:
-    return on_or_after(table(spark, folder, "papers"), "publication_date", table(spark, folder, "crawl_state"), "discovered_from").select("id")
+    marks = table(spark, folder, "crawl_state").withColumn("watermark", F.add_months("watermark", -48))
+    return on_or_after(table(spark, folder, "papers"), "publication_date", marks, "discovered_from").select("id")
 
 
 @query()
@@ -270,19 +266,20 @@ def insert_new_papers(spark: SparkSession, folder: str) -> DataFrame:
     return insert_if_absent(papers.filter("discovered_from = 'openalex'"), papers.filter("discovered_from <> 'openalex'"), "id").select("id", "doi", "openalex_id", "semantic_scholar_id")
 
 
-_TOKENS = "regexp_extract_all(title, '<[^>]+>|[A-Za-z0-9'']+|[^A-Za-z0-9''<]+')"
-_MINOR = ", ".join(f"'{w}'" for w in t.MINOR_WORDS)
-
-
-@query(f"""WITH w AS (SELECT id, title, {_TOKENS} AS k FROM papers), n AS (SELECT *, list_filter(list_transform(k, lambda x, i: CASE WHEN regexp_matches(x, '^[A-Za-z0-9]') THEN i END), lambda z: z IS NOT NULL) AS spots FROM w)
+@query(f"""WITH w AS (SELECT id, title, list_filter(flatten(list_transform(string_split(regexp_replace(title, '(<[^>]+>)', chr(1) || '\\1' || chr(1), 'g'), chr(1)),
+  lambda s: CASE WHEN s LIKE '<_%>' THEN [s] ELSE string_split(regexp_replace(replace(s, '<', ''), '([A-Za-z0-9'']+)', chr(1) || '\\1' || chr(1), 'g'), chr(1)) END)), lambda s: s <> '') AS k FROM papers),
+n AS (SELECT *, list_filter(list_transform(k, lambda x, i: CASE WHEN regexp_matches(x, '^[A-Za-z0-9]') THEN i END), lambda z: z IS NOT NULL) AS spots FROM w)
 SELECT id, CASE WHEN title IS NULL OR len(spots) = 0 THEN title ELSE array_to_string(list_transform(k, lambda x, i: CASE WHEN NOT regexp_matches(x, '^[A-Za-z0-9]') THEN x
- WHEN lower(x) IN ({_MINOR}) AND i <> spots[1] AND i <> spots[len(spots)] THEN lower(x) ELSE upper(substr(x, 1, 1)) || substr(x, 2) END), '') END AS title FROM n""")
+ WHEN lower(x) IN ('a', 'an', 'and', 'as', 'at', 'but', 'by', 'for', 'from', 'in', 'into', 'nor', 'of', 'on', 'onto', 'or', 'over', 'per', 'so', 'the', 'to', 'up', 'via', 'vs', 'with', 'yet')
+  AND i <> spots[1] AND i <> spots[len(spots)] THEN lower(x) ELSE upper(substr(x, 1, 1)) || substr(x, 2) END), '') END AS title FROM n""")
 def title_case(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "papers").select("id", t.title_case(F.col("title")).alias("title"))
 
 
 @query(r"""SELECT id, nullif(regexp_replace(regexp_replace(regexp_replace(title, '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g'), '^\s+|\s+$', '', 'g'), '') AS plain,
- CASE WHEN regexp_matches(title, '(CO2|NO2|NO3|SO2|SO4|PO4|NH3|NH4|H2S|N2O|CH4)$') THEN title ELSE regexp_replace(title, '([A-Za-z>])[0-9]{1,2}(,[0-9]{1,2})*$', '\1') END AS unmarked,
+ CASE WHEN right(title, 3) IN ('CO2', 'NO2', 'NO3', 'SO2', 'SO4', 'PO4', 'NH3', 'NH4', 'H2S', 'N2O', 'CH4') OR title IS NULL THEN title
+  WHEN regexp_matches(right(rtrim(title, '0123456789,'), 1), '[A-Za-z>]') AND len(list_filter(string_split(substr(title, length(rtrim(title, '0123456789,')) + 1), ','), lambda x: length(x) NOT BETWEEN 1 AND 2)) = 0
+  THEN rtrim(title, '0123456789,') ELSE title END AS unmarked,
  regexp_replace(regexp_replace(lower(title), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') AS slug, substr(sha256(title), 1, 12) AS hash FROM papers""")
 def clean_titles(spark: SparkSession, folder: str) -> DataFrame:
     c = F.col("title")
@@ -302,14 +299,14 @@ def entity_keys(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "entity_dim").select("entity_id", t.entity_key(F.col("name")).alias("key"))
 
 
-@query("SELECT item_id, array_to_string(string_split(text, ' '), ' ') AS text FROM heldout_items")
+@query(r"SELECT id, nullif(abstract, '') AS abstract FROM papers")
 def abstract_from_index(spark: SparkSession, folder: str) -> DataFrame:
     def places(words):
         every = F.sequence(F.lit(0), F.size(words) - 1)
         return F.map_from_entries(F.transform(F.array_distinct(words), lambda w: F.struct(w, F.filter(every, lambda i: F.get(words, i) == w))))
 
-    index = t.let(F.split("text", " ", -1), places)
-    return table(spark, folder, "heldout_items").select("item_id", t.text_from_index(index).alias("text"))
+    index = t.let(F.split("abstract", " ", -1), places)
+    return table(spark, folder, "papers").select("id", t.text_from_index(index).alias("abstract"))
 
 
 @query("SELECT id, json_exists(provenance, '$.entity_id') AS has_entity, json_exists(provenance, '$.context') AS has_context FROM extractions")
@@ -327,19 +324,34 @@ def split_pages(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "paper_ocr_context").select("paper_id", F.posexplode(page_list(F.col("context"))).alias("pos", "p")).select("paper_id", "pos", "p.page", "p.text")
 
 
-@query(r"""WITH d AS (SELECT paper_id, context, regexp_extract_all(context, '(?s)<page number="(\d+)">(.*?)</page>', 1) AS n, regexp_extract_all(context, '(?s)<page number="(\d+)">(.*?)</page>', 2) AS x FROM paper_ocr_context),
+#: Every extraction with its best place, with and without a context.
+_PLACED_SQL = r"""d AS (SELECT paper_id, context, regexp_extract_all(context, '(?s)<page number="(\d+)">(.*?)</page>', 1) AS n, regexp_extract_all(context, '(?s)<page number="(\d+)">(.*?)</page>', 2) AS x FROM paper_ocr_context),
 p AS (SELECT paper_id, pos, CAST(n[pos + 1] AS BIGINT) AS page, regexp_replace(x[pos + 1], '^\s+|\s+$', '', 'g') AS text FROM d, unnest(range(len(n))) AS r(pos)),
-e AS (SELECT id, x.paper_id, data.value AS v, data.attribute AS a, data.units AS u FROM extractions x JOIN paper_ocr_context USING (paper_id)),
-f AS (SELECT id, pos, page, coalesce(v, '') <> '' AS given, coalesce(regexp_matches(text, '(^|[^0-9.,-])' || regexp_escape(v) || '($|[^0-9.,])'), false) AS lit,
- coalesce(list_contains(list_transform(regexp_extract_all(text, '-?[0-9,]+\.?[0-9]*'), lambda z: TRY_CAST(replace(z, ',', '') AS DOUBLE)), CASE WHEN regexp_matches(trim(replace(v, ',', '')), '^[-+]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][-+]?[0-9]+)?$') THEN TRY_CAST(trim(replace(v, ',', '')) AS DOUBLE) END), false) AS eq,
- coalesce(a <> '' AND contains(lower(text), lower(a)), false) OR coalesce(u <> '' AND contains(lower(text), lower(u)), false) AS m FROM e LEFT JOIN p USING (paper_id)),
-g AS (SELECT *, CASE WHEN NOT given THEN 3 WHEN lit THEN 0 WHEN eq THEN 1 WHEN m THEN 2 ELSE 3 END AS tier, CASE WHEN given AND m THEN 0 ELSE 1 END AS o FROM f)
-SELECT id, page AS page_number, tier < 2 AS page_matched FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY tier, o, pos) AS r FROM g) WHERE r = 1""")
+e AS (SELECT id, paper_id, data.value AS v, data.attribute AS a, data.units AS u, CASE WHEN regexp_matches(trim(replace(data.value, ',', '')), '^[-+]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][-+]?[0-9]+)?$') THEN TRY_CAST(trim(replace(data.value, ',', '')) AS DOUBLE) END AS y FROM extractions),
+m AS (SELECT *, list_transform(string_split_regex(replace(text, '-', ' -'), '[^0-9.,-]+'), lambda z: TRY_CAST(replace(rtrim(regexp_replace(z, '^(-?)[.,]+', '\1'), '.,'), ',', '') AS DOUBLE)) AS numbers FROM p),
+f AS (SELECT id, v, y, pos, page, text, coalesce(v, '') <> '' AS given, CASE WHEN coalesce(v, '') <> '' AND contains(text, v) THEN string_split(text, v) END AS parts, coalesce(list_contains(numbers, y), false) AS eq,
+ coalesce(a <> '' AND contains(lower(text), lower(a)), false) OR coalesce(u <> '' AND contains(lower(text), lower(u)), false) AS mentioned FROM e LEFT JOIN m USING (paper_id)),
+h AS (SELECT *, coalesce(len(list_filter(range(1, len(parts)), lambda i: NOT regexp_matches(right(CASE WHEN parts[i] = '' AND i > 1 THEN v ELSE parts[i] END, 1), '[0-9.,-]')
+  AND NOT regexp_matches(left(CASE WHEN parts[i + 1] = '' AND i + 1 < len(parts) THEN v ELSE parts[i + 1] END, 1), '[0-9.,]'))) > 0, false) AS lit FROM f),
+g AS (SELECT *, CASE WHEN NOT given THEN 3 WHEN lit THEN 0 WHEN eq THEN 1 WHEN mentioned THEN 2 ELSE 3 END AS tier, CASE WHEN given AND mentioned THEN 0 ELSE 1 END AS o FROM h),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY tier, o, pos) AS r FROM g) WHERE r = 1)"""
+
+
+@query(f"WITH {_PLACED_SQL} SELECT id, page AS page_number, tier < 2 AS page_matched FROM best")
 def find_page(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "extractions").select("id", "paper_id", "data.value", "data.attribute", "data.units")
     return find_pages(rows, table(spark, folder, "paper_ocr_context"), "id", "paper_id")
 
 
+@query(f"""WITH {_PLACED_SQL} SELECT id, page AS page_number, tier < 2 AS page_matched, CASE WHEN pos IS NULL THEN substr(regexp_replace(context, '^\\s+|\\s+$', '', 'g'), 1, 2000) WHEN tier = 1 THEN NULL WHEN tier = 0 THEN NULL ELSE text END AS unmarked_text,
+ CASE WHEN tier < 2 THEN length(text) END AS chars FROM best LEFT JOIN (SELECT id, context FROM extractions LEFT JOIN paper_ocr_context USING (paper_id)) c USING (id)""")
+def snippets(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "extractions").select("id", "paper_id", "data.value", "data.attribute", "data.units")
+    shown = find_snippets(rows, table(spark, folder, "paper_ocr_context"), "id", "paper_id")
+    plain = F.replace(F.replace("text", F.lit("<mark>"), F.lit("")), F.lit("</mark>"), F.lit(""))
+    return shown.select("id", "page_number", "page_matched", F.when(~F.col("page_matched"), F.col("text")).alias("unmarked_text"), F.when(F.col("page_matched"), F.length(plain)).cast("bigint").alias("chars"))
+
+
 # --- votes and reports
 
 
@@ -354,13 +366,10 @@ def judgements_of_voted(spark: SparkSession, folder: str) -> DataFrame:
     return a.judgements_of(table(spark, folder, "extractions"), table(spark, folder, "votes").select(F.col("extraction_id").alias("id")))
 
 
-@query("""SELECT x.id, len(list(e.id) FILTER (WHERE e.id IS NOT NULL)) AS n, MIN(e.id) AS first FROM papers x LEFT JOIN extractions e ON e.paper_id = x.id GROUP BY x.id""")
+@query("SELECT x.id AS pos, x.id, x.title, e.id AS extraction_id, e.data.attribute AS attribute, e.data.value AS value, e.data.units AS units FROM papers x LEFT JOIN extractions e ON e.paper_id = x.id")
 def papers_with_extractions(spark: SparkSession, folder: str) -> DataFrame:
     papers = table(spark, folder, "papers")
-    asked = papers.select("id", F.col("id").alias("pos"))
-    rows = a.papers_with_extractions(papers, table(spark, folder, "extractions"), asked)
-    n = F.coalesce(F.size("extractions"), F.lit(0))
-    return rows.select("id", F.when(n > 0, n).cast("bigint").alias("n"), F.get("extractions", F.lit(0))["extraction_id"].alias("first"))
+    return a.papers_with_extractions(papers, table(spark, folder, "extractions"), papers.select("id", F.col("id").alias("pos")))
 
 
 @query("SELECT status, COUNT(*) AS n FROM papers GROUP BY status")
@@ -393,87 +402,135 @@ def timing_summary(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("n", *[F.round(c, 6).alias(c) for c in ("mean", "median", "min", "p95", "max")])
 
 
-# --- the analytical queries on a star of the commerce tables: events as facts, customers as papers, nations as entities
+# --- the analytical queries: accepted extractions as facts with the entity that their provenance names
 
-STAR_SQL = """fact AS (SELECT event_id AS source_extraction_id, user_id AS paper_id, c_nationkey AS entity_id, event_type AS attribute, CAST(value AS VARCHAR) AS quantity_raw, 'u' AS units_raw,
-  nullif(event_id % 7, 6) AS page_number, CAST(ts AS DATE) AS day, value FROM events JOIN customer ON c_custkey = user_id),
-paper AS (SELECT c_custkey AS paper_id, c_name AS title, c_mktsegment AS doi, c_acctbal AS publication_date FROM customer),
-entity AS (SELECT n_nationkey AS entity_id, n_name AS name, CASE WHEN n_nationkey % 5 <> 0 THEN n_nationkey * 3.5 - 40 END AS latitude, CASE WHEN n_nationkey % 7 <> 0 THEN n_nationkey * 7.0 - 80 END AS longitude, r_name AS ecosystem_type FROM nation JOIN region ON r_regionkey = n_regionkey)"""
+STAR_SQL = f"""good AS (SELECT j.*, CAST(substr(json_extract_string(x.provenance, '$.entity_id'), 2) AS INTEGER) AS entity_id FROM ({JUDGED_SQL}) j JOIN (SELECT id, provenance FROM extractions) x ON x.id = j.extraction_id WHERE reason IS NULL),
+event AS (SELECT row_number() OVER (ORDER BY first) AS event_id, date_measured, sub_location, additional_details FROM (SELECT date_measured, sub_location, additional_details, MIN(extraction_id) AS first FROM good GROUP BY ALL)),
+fact AS (SELECT extraction_id AS source_extraction_id, paper_id, entity_id, v.event_id, attribute, quantity_raw, units_raw, page_number, confidence FROM good g JOIN event v ON v.date_measured IS NOT DISTINCT FROM g.date_measured
+  AND v.sub_location IS NOT DISTINCT FROM g.sub_location AND v.additional_details IS NOT DISTINCT FROM g.additional_details),
+paper AS (SELECT id AS paper_id, doi, title, CASE WHEN len(authors) > 0 THEN array_to_string(authors, ', ') END AS authors, publication_date FROM papers), entity AS (SELECT * FROM entity_dim)"""
+_STARS: dict[tuple[str, str], tuple[DataFrame, DataFrame, DataFrame, DataFrame]] = {}
 
 
 def star_tables(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    customer = table(spark, folder, "customer")
-    fact = table(spark, folder, "events").join(customer.select(F.col("c_custkey").alias("user_id"), "c_nationkey"), "user_id").select(
-        F.col("event_id").alias("source_extraction_id"), F.col("user_id").alias("paper_id"), F.col("c_nationkey").alias("entity_id"), F.col("event_type").alias("attribute"),
-        F.col("value").cast("string").alias("quantity_raw"), F.lit("u").alias("units_raw"), F.nullif(F.col("event_id") % 7, F.lit(6)).alias("page_number"), F.to_date("ts").alias("day"),
-        F.lit(1).alias("event_id"), F.lit(0.5).alias("confidence"),
-    )
-    paper = customer.select(F.col("c_custkey").alias("paper_id"), F.col("c_name").alias("title"), F.array("c_mktsegment").alias("authors"), F.col("c_mktsegment").alias("doi"), F.col("c_acctbal").alias("publication_date"))
-    k = F.col("n_nationkey")
-    entity = table(spark, folder, "nation").join(table(spark, folder, "region").withColumnRenamed("r_regionkey", "n_regionkey"), "n_regionkey").select(
-        k.alias("entity_id"), F.col("n_name").alias("name"), F.when(k % 5 != 0, k * 3.5 - 40).alias("latitude"), F.when(k % 7 != 0, k * 7.0 - 80).alias("longitude"),
-        F.lit(None).cast("string").alias("location_description"), F.lit(None).cast("string").alias("identifiers"), F.col("r_name").alias("ecosystem_type"),
-    )
-    event = spark.range(1).select(F.lit(1).alias("event_id"), F.lit("2024").alias("date_measured"), F.lit(None).cast("string").alias("sub_location"), F.lit(None).cast("string").alias("additional_details"))
-    return fact.drop("day"), entity, paper, event
-
-
-@query(f"""WITH {STAR_SQL} SELECT p.paper_id AS id, any_value(title) AS title, any_value(p.publication_date) AS publication_date, any_value(doi) AS doi, COUNT(*) AS extraction_count FROM fact f JOIN entity e USING (entity_id) JOIN paper p USING (paper_id)
-WHERE attribute = 'view' AND ecosystem_type = 'ASIA' AND title ILIKE '%customer%' GROUP BY p.paper_id ORDER BY MAX(source_extraction_id) DESC LIMIT 25 OFFSET 0""")
+    """(fact, entity, paper, event): written to the checkpoint folder once a session, as a snapshot that is queried often."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _STARS:
+        extractions, papers = table(spark, folder, "extractions"), table(spark, folder, "papers")
+        named = F.substring(F.get_json_object("provenance", "$.entity_id"), 2, 20).try_cast("int")
+        good = checkpointed(accepted(judged(extractions, papers)).join(extractions.select(F.col("id").alias("extraction_id"), named.alias("entity_id")), "extraction_id"))
+        events = checkpointed(first_seen_ids(good, EVENT_KEY, "extraction_id", "event_id", "n"))
+        facts = with_id(good, events, EVENT_KEY, "n").select(F.col("extraction_id").alias("source_extraction_id"), "paper_id", "entity_id", "event_id", "attribute", "quantity_raw", "units_raw", "page_number", "confidence")
+        entity = table(spark, folder, "entity_dim").select("entity_id", "latitude", "longitude", "name", "location_description", "identifiers", "ecosystem_type")
+        _STARS[key] = (checkpointed(facts), checkpointed(entity), checkpointed(paper_dimension(papers)), events.select("event_id", *EVENT_KEY))
+    return _STARS[key]
+
+
+def _listed(rows: DataFrame) -> DataFrame:
+    """Authors as one text: what is compared has no arrays."""
+    return rows.withColumn("authors", F.when(F.col("authors").isNotNull(), F.concat_ws(", ", "authors")))
+
+
+_LISTED = "SELECT p.paper_id AS id, any_value(title) AS title, any_value(authors) AS authors, any_value(p.publication_date) AS publication_date, any_value(doi) AS doi, COUNT(*) AS extraction_count FROM fact f JOIN entity e USING (entity_id) JOIN paper p USING (paper_id)"
+
+
+@query(f"WITH {STAR_SQL} {_LISTED} WHERE attribute = 'salinity' AND ecosystem_type = 'estuary' AND title ILIKE '%a%' GROUP BY p.paper_id ORDER BY MAX(source_extraction_id) DESC LIMIT 25 OFFSET 0")
 def list_papers(spark: SparkSession, folder: str) -> DataFrame:
     fact, entity, paper, _ = star_tables(spark, folder)
-    return a.list_papers(fact, entity, paper, title="customer", attribute="view", ecosystem_type="ASIA").drop("authors")
+    return _listed(a.list_papers(fact, entity, paper, title="a", attribute="salinity", ecosystem_type="estuary"))
 
 
-@query(f"""WITH {STAR_SQL} SELECT p.paper_id AS id, any_value(title) AS title, any_value(p.publication_date) AS publication_date, any_value(doi) AS doi, COUNT(*) AS extraction_count FROM fact f JOIN entity e USING (entity_id) JOIN paper p USING (paper_id)
-GROUP BY p.paper_id ORDER BY MAX(source_extraction_id) DESC LIMIT 25 OFFSET 25""")
+@query(f"WITH {STAR_SQL} {_LISTED} GROUP BY p.paper_id ORDER BY MAX(source_extraction_id) DESC LIMIT 25 OFFSET 25")
 def list_papers_page_2(spark: SparkSession, folder: str) -> DataFrame:
     fact, entity, paper, _ = star_tables(spark, folder)
-    return a.list_papers(fact, entity, paper, page=2).drop("authors")
+    return _listed(a.list_papers(fact, entity, paper, page=2))
 
 
-@query(f"WITH {STAR_SQL} SELECT COUNT(DISTINCT f.paper_id) AS total, CAST(greatest(1, ceil(COUNT(DISTINCT f.paper_id) / 25.0)) AS BIGINT) AS total_pages FROM fact f JOIN entity e USING (entity_id) JOIN paper p USING (paper_id) WHERE attribute = 'view'")
+@query(f"WITH {STAR_SQL} SELECT COUNT(DISTINCT f.paper_id) AS total, CAST(greatest(1, ceil(COUNT(DISTINCT f.paper_id) / 25.0)) AS BIGINT) AS total_pages FROM fact f JOIN entity e USING (entity_id) JOIN paper p USING (paper_id) WHERE attribute = 'salinity'")
 def list_papers_total(spark: SparkSession, folder: str) -> DataFrame:
     fact, entity, paper, _ = star_tables(spark, folder)
-    return a.count_papers(fact, entity, paper, attribute="view")
+    return a.count_papers(fact, entity, paper, attribute="salinity")
 
 
-@query(f"WITH {STAR_SQL} SELECT DISTINCT ecosystem_type FROM entity WHERE ecosystem_type IS NOT NULL")
+@query("SELECT DISTINCT ecosystem_type FROM entity_dim WHERE ecosystem_type IS NOT NULL")
 def facet_ecosystem_types(spark: SparkSession, folder: str) -> DataFrame:
     return a.ecosystem_types(star_tables(spark, folder)[1])
 
 
-@query(f"""WITH {STAR_SQL} SELECT p.paper_id AS id, title, doi, publication_date FROM paper p WHERE title ILIKE '%customer#0%' AND EXISTS (SELECT 1 FROM fact f WHERE f.paper_id = p.paper_id)
-ORDER BY CASE WHEN title ILIKE 'customer#0%' THEN 0 ELSE 1 END, length(title), p.paper_id LIMIT 50""")
+@query(f"""WITH {STAR_SQL} SELECT p.paper_id AS id, title, authors, doi, publication_date FROM paper p WHERE title ILIKE '%s%' AND EXISTS (SELECT 1 FROM fact f WHERE f.paper_id = p.paper_id)
+ORDER BY CASE WHEN title ILIKE 's%' THEN 0 ELSE 1 END, length(title), p.paper_id LIMIT 50""")
 def search_titles(spark: SparkSession, folder: str) -> DataFrame:
     fact, _, paper, _ = star_tables(spark, folder)
-    return a.search_titles(paper, fact, "customer#0", 50).drop("authors")
+    return _listed(a.search_titles(paper, fact, "s", 50, least=1))
 
 
 @query(f"""WITH {STAR_SQL} SELECT e.entity_id, e.name AS entity_name, latitude, longitude, COUNT(DISTINCT f.paper_id) AS paper_count FROM fact f JOIN entity e USING (entity_id) JOIN paper p USING (paper_id)
-WHERE latitude IS NOT NULL AND longitude IS NOT NULL AND attribute = 'click' GROUP BY ALL""")
+WHERE latitude IS NOT NULL AND longitude IS NOT NULL AND attribute = 'salinity' GROUP BY ALL""")
 def map_entities(spark: SparkSession, folder: str) -> DataFrame:
     fact, entity, paper, _ = star_tables(spark, folder)
-    return a.map_entities(fact, entity, paper, attribute="click")
+    return a.map_entities(fact, entity, paper, attribute="salinity")
 
 
-@query(f"WITH {STAR_SQL} SELECT page_number, COUNT(*) AS count FROM fact JOIN entity USING (entity_id) WHERE paper_id = 42 GROUP BY page_number")
+@query(f"WITH {STAR_SQL} SELECT page_number, COUNT(*) AS count FROM fact JOIN entity USING (entity_id) WHERE paper_id = 1000 GROUP BY page_number")
 def pages_for_paper(spark: SparkSession, folder: str) -> DataFrame:
     fact, entity, _, _ = star_tables(spark, folder)
-    return a.pages_of_paper(fact, entity, 42)
+    return a.pages_of_paper(fact, entity, 1000)
 
 
-@query(f"""WITH {STAR_SQL} SELECT source_extraction_id AS id, f.paper_id, attribute, units_raw AS units, e.entity_id, e.name AS entity_name, ecosystem_type FROM fact f JOIN entity e USING (entity_id) JOIN paper p USING (paper_id)
-WHERE f.paper_id = 42 AND page_number = 3 AND title ILIKE '%customer%'""")
+_FACT_SQL = """source_extraction_id AS id, f.paper_id, attribute, quantity_raw AS value, units_raw AS units, confidence, e.entity_id, e.name AS entity_name, identifiers, location_description AS location, ecosystem_type,
+ date_measured AS event_date, sub_location, additional_details"""
+
+
+@query(f"""WITH {STAR_SQL} SELECT {_FACT_SQL} FROM fact f JOIN entity e USING (entity_id) JOIN paper p USING (paper_id) JOIN event v USING (event_id) WHERE f.paper_id = 1000 AND page_number = 1 AND title ILIKE '%a%'""")
 def page_extractions(spark: SparkSession, folder: str) -> DataFrame:
     fact, entity, paper, event = star_tables(spark, folder)
-    return a.page_facts(fact, entity, event, paper, 42, 3, title="customer").select("id", "paper_id", "attribute", "units", "entity_id", "entity_name", "ecosystem_type")
+    return a.page_facts(fact, entity, event, paper, 1000, 1, title="a")
 
 
-@query(f"""WITH {STAR_SQL} SELECT source_extraction_id, e.entity_id, e.name AS entity_name, latitude AS entity_latitude, longitude AS entity_longitude, attribute, ecosystem_type, title, doi, x.judgement FROM fact f JOIN entity e USING (entity_id)
-JOIN paper p USING (paper_id) LEFT JOIN (SELECT id, judgement FROM extractions) x ON x.id = source_extraction_id WHERE ecosystem_type = 'EUROPE'""")
+@query(f"""WITH {STAR_SQL} SELECT e.entity_id, e.name AS entity_name, latitude AS entity_latitude, longitude AS entity_longitude, identifiers, location_description, attribute, quantity_raw AS value, units_raw AS units, ecosystem_type, date_measured AS date, sub_location,
+ additional_details, x.judgement, confidence, title, authors, doi, publication_date FROM fact f JOIN entity e USING (entity_id) JOIN paper p USING (paper_id) JOIN event v USING (event_id) LEFT JOIN (SELECT id, judgement FROM extractions) x ON x.id = source_extraction_id
+WHERE ecosystem_type = 'estuary'""")
 def export_rows(spark: SparkSession, folder: str) -> DataFrame:
     fact, entity, paper, event = star_tables(spark, folder)
-    judged_rows = table(spark, folder, "extractions").select("id", "judgement")
-    rows = a.export_rows(fact.withColumn("units_raw", F.col("source_extraction_id").cast("string")), entity, event, paper, judged_rows, ecosystem_type="EUROPE")
-    return rows.select(F.col("units").cast("bigint").alias("source_extraction_id"), "entity_id", "entity_name", "entity_latitude", "entity_longitude", "attribute", "ecosystem_type", "title", "doi", "judgement")
+    return a.export_rows(fact, entity, event, paper, table(spark, folder, "extractions").select("id", "judgement"), ecosystem_type="estuary")
+
+
+@query(f"WITH {STAR_SQL} SELECT {_FACT_SQL}, title, doi FROM fact f JOIN entity e USING (entity_id) JOIN paper p USING (paper_id) JOIN event v USING (event_id) WHERE source_extraction_id IN (SELECT extraction_id FROM votes)")
+def facts_by_id(spark: SparkSession, folder: str) -> DataFrame:
+    fact, entity, paper, event = star_tables(spark, folder)
+    return a.facts_by_id(fact, entity, event, paper, table(spark, folder, "votes").select(F.col("extraction_id").alias("id")))
+
+
+@query("SELECT id, title, doi, CASE WHEN len(authors) > 0 THEN array_to_string(authors, ', ') END AS authors FROM papers WHERE id = 1000")
+def paper_by_id(spark: SparkSession, folder: str) -> DataFrame:
+    return _listed(a.get_by_id(star_tables(spark, folder)[2], "paper_id", 1000, ["title", "doi", "authors"]))
+
+
+@query("SELECT entity_id AS id, name, latitude, longitude FROM entity_dim WHERE entity_id = 7")
+def entity_by_id(spark: SparkSession, folder: str) -> DataFrame:
+    return a.get_by_id(star_tables(spark, folder)[1], "entity_id", 7, ["name", "latitude", "longitude"])
+
+
+@query("""SELECT p.status, COUNT(DISTINCT p.id) AS papers, COUNT(e.id) AS extractions, COUNT(DISTINCT CASE WHEN c.paper_id IS NOT NULL THEN p.id END) AS transcribed FROM papers p LEFT JOIN extractions e ON e.paper_id = p.id LEFT JOIN paper_ocr_context c ON c.paper_id = p.id GROUP BY p.status""")
+def funnel(spark: SparkSession, folder: str) -> DataFrame:
+    return a.funnel(table(spark, folder, "papers"), table(spark, folder, "extractions"), table(spark, folder, "paper_ocr_context"))
+
+
+@query("""SELECT p.id, p.title FROM papers p WHERE oa_pdf_url IS NOT NULL AND oa_pdf_url <> '' AND (authors IS NULL OR len(authors) = 0 OR publication_date IS NULL)""")
+def backfill_candidates(spark: SparkSession, folder: str) -> DataFrame:
+    return a.backfill_candidates(table(spark, folder, "papers")).select("id", "title")
+
+
+@query("SELECT id, paper_id FROM extractions WHERE page_number IS NULL")
+def unpaged_extractions(spark: SparkSession, folder: str) -> DataFrame:
+    return a.unpaged(table(spark, folder, "extractions")).select("id", "paper_id")
+
+
+@query("SELECT sha256(coalesce(source, 'unknown') || '|' || coalesce(section, ''))[1:16] AS voter, COUNT(*) AS n FROM documents GROUP BY 1")
+def voter_hashes(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "documents").groupBy(t.voter_hash(F.col("source"), F.col("section")).alias("voter")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT id, substr(error, 1, 20) AS error, CASE WHEN length(doi) = 8 THEN doi[1:4] || '-' || doi[5:] ELSE doi END AS issn, replace(oa_pdf_url, '/tdm/v2/', '/tdm/v1/') AS url FROM papers")
+def clean_links(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "papers").select("id", t.short_error(F.col("error"), 20).alias("error"), t.issn(F.col("doi")).alias("issn"), t.pdf_url(F.col("oa_pdf_url")).alias("url"))

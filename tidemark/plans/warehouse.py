@@ -17,10 +17,12 @@ from tidemark.functions.units import canonical_factor, canonical_unit
 from tidemark.operators.dedup import FACT_KEY, duplicate_flags, majority
 from tidemark.operators.entities import resolve_entities
 from tidemark.operators.numbering import first_seen_ids, numbered
+from tidemark.operators.skew import attach_group
 from tidemark.session import checkpointed
 
 EVENT_KEY = ["date_measured", "sub_location", "additional_details"]
 QUALIFIER_KEY = ["confidence_region", "confidence_min", "confidence_max", "range_min", "range_max", "less_than_or_equal", "greater_than"]
+#: The reasons of a reject report.
 REASONS = ("orphaned_paper", "unknown_attribute", "unparseable_value", "unknown_unit", "duplicate_fact_row")
 
 
@@ -47,10 +49,19 @@ class Warehouse:
     rejects: DataFrame
 
 
+#: Characters that a report prints as escapes: controls, formats, separators other than a blank, private and unassigned.
+_HIDDEN = r"[\p{Cc}\p{Cf}\p{Zl}\p{Zp}\p{Co}\p{Cn}\p{Cs}]|(?! )\p{Zs}"
+
+
 def quoted(text: Column) -> Column:
-    """A text between quotes as reject reports show it; None for null."""
+    """A text between quotes as reject reports show it, hidden characters escaped; None for null."""
     quote = F.when(F.contains(text, F.lit("'")) & ~F.contains(text, F.lit('"')), '"').otherwise("'")
-    body = F.replace(F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n")), F.lit("\t"), F.lit("\\t"))
+    body = F.replace(text, F.lit("\\"), F.lit("\\\\"))
+    for sign, put in (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+        body = F.replace(body, F.lit(sign), F.lit(put))
+    code = lambda ch, width: F.lower(F.lpad(F.hex(F.ascii(ch)), width, "0"))
+    shown = lambda ch: F.when(~ch.rlike(_HIDDEN), ch).when(F.ascii(ch) < 256, F.concat(F.lit("\\x"), code(ch, 2))).when(F.ascii(ch) < 65536, F.concat(F.lit("\\u"), code(ch, 4))).otherwise(F.concat(F.lit("\\U"), code(ch, 8)))
+    body = F.when(body.rlike(_HIDDEN), F.array_join(F.transform(F.split(body, ""), shown), "")).otherwise(body)
     escaped = F.when(F.contains(text, F.lit("'")) & F.contains(text, F.lit('"')), F.replace(body, F.lit("'"), F.lit("\\'"))).otherwise(body)
     return F.when(text.isNull(), "None").otherwise(F.concat(quote, escaped, quote))
 
@@ -105,14 +116,9 @@ def entity_dimension(extractions: DataFrame, settings: Settings) -> tuple[DataFr
     return dimension, assigned
 
 
-def with_id(rows: DataFrame, ids: DataFrame, keys: list[str], column: str) -> DataFrame:
-    """Attaches a surrogate id through keys in which null is a value."""
-    other = ids.select(*[F.col(k).alias(f"__{k}") for k in keys], column)
-    equal = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
-    condition = equal[0]
-    for e in equal[1:]:
-        condition = condition & e
-    return rows.join(other, condition).drop(*[f"__{k}" for k in keys])
+def with_id(rows: DataFrame, ids: DataFrame, keys: list[str], count: str) -> DataFrame:
+    """Attaches the surrogate ids of keys in which null is a value, the most frequent keys by broadcast."""
+    return attach_group(rows, ids, keys, count)
 
 
 def build(papers: DataFrame, extractions: DataFrame, settings: Settings | None = None) -> Warehouse:
@@ -121,13 +127,14 @@ def build(papers: DataFrame, extractions: DataFrame, settings: Settings | None =
     settings = settings or Settings()
     rows = checkpointed(judged(extractions, papers))
     good = accepted(rows)
-    events = first_seen_ids(good, EVENT_KEY, "extraction_id", "event_id")
-    shapes = first_seen_ids(good, QUALIFIER_KEY, "extraction_id", "qualifier_id")
+    events = checkpointed(first_seen_ids(good, EVENT_KEY, "extraction_id", "event_id", "n"))
+    shapes = checkpointed(first_seen_ids(good, QUALIFIER_KEY, "extraction_id", "qualifier_id", "n"))
     models = model_dimension(extractions, settings)
     entity_dim, assigned = entity_dimension(extractions, settings)
     last_model = models.groupBy(F.col("model_name").alias("model_version")).agg(F.max("model_id").alias("extraction_model_id"))
-    facts = with_id(with_id(good, events, EVENT_KEY, "event_id"), shapes, QUALIFIER_KEY, "qualifier_id")
-    facts = facts.join(last_model, "model_version").join(assigned.withColumnRenamed("row_key", "extraction_id"), "extraction_id")
+    facts = with_id(with_id(good, events, EVENT_KEY, "n"), shapes, QUALIFIER_KEY, "n")
+    same_model = F.col("model_version").eqNullSafe(F.col("of_version"))
+    facts = facts.join(last_model.withColumnRenamed("model_version", "of_version"), same_model).drop("of_version").join(assigned.withColumnRenamed("row_key", "extraction_id"), "extraction_id")
     flagged = checkpointed(duplicate_flags(facts, list(FACT_KEY), "extraction_id"))
     kept = numbered(flagged.filter("kept"), "fact_id", "extraction_id")
     fact = kept.select(

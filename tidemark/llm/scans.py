@@ -224,16 +224,24 @@ def scan_lines(contexts: DataFrame) -> DataFrame:
                 for r, follow in zip(rows, follows):
                     out.append((
                         paper, version, r["no"], r["text"], r["page"], not r["table"], follow is not None, r["no"] in begun, follow and follow["no"], follow and follow["text"],
-                        ends[r["text"][-1]] / total if follow else None, [float(x) for x in r["features"]], r["repeats"], _hash(r["key"]) if not r["table"] and r["key"] else None,
+                        ends[r["text"][-1]] / total if follow else None, r["features"], r["repeats"], _hash(r["key"]) if not r["table"] and r["key"] else None,
                     ))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _ARROW_LINES)], schema=_ARROW_LINES)
+                columns = list(zip(*out))
+                arrays = [_matrix(c) if f.name == "features" else pa.array(c, f.type) for c, f in zip(columns, _ARROW_LINES)]
+                yield pa.RecordBatch.from_arrays(arrays, schema=_ARROW_LINES)
 
     pid = F.coalesce(F.col("paper_id").cast("bigint"), F.lit(NO_PAPER))
     source = contexts.filter("context is not null").select(pid.alias("pid"), F.xxhash64("context").alias("version"), "context").distinct()
     return source.mapInArrow(run, LINES)
 
 
+def _matrix(rows: tuple[list, ...]) -> pa.Array:
+    """Lists of the same length as one Arrow array."""
+    flat = np.array(rows, dtype=np.float32)
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * flat.shape[1]), pa.array(flat.ravel()))
+
+
 def _hash(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "little", signed=True)
 

@@ -276,3 +276,12 @@ def test_misspelt_sites_that_share_no_place(spark):
     matches = sites.match_sites(spark.createDataFrame(left, ENTITIES), spark.createDataFrame(right, REGISTRY))
     assert sorted(tuple(r) for r in sites.same_sites(matches).collect()) == [(i, 1000 + i) for i in range(len(pairs))]
     assert matches.count() == matches.select("entity_id", "registry_id").distinct().count()
+
+
+def test_words_hold_the_bits_of_a_vector_exactly(spark):
+    """Also beside records without a name, whose words are null."""
+    names = ["Falgamunorm Pond", None, "Peldolokade Creek", "", "Orlfitenard Bay near Selistisar"]
+    rows = spark.createDataFrame([(i, n, 1.0, 2.0, "Torsa Bay") for i, n in enumerate(names)], "k int, n string, y double, x double, w string")
+    got = {r.key: [r[c] for c in sites.NAME_WORDS] for r in sites.prepared(rows.coalesce(1), "k", "n", "y", "x", "w", 0.0).collect()}
+    assert got == {i: sites.bit_words(sites.read_name(n)[0]) for i, n in enumerate(names)}
+    assert got[1] == [None] * len(sites.NAME_WORDS) and max(got[0]) > 1 << 53

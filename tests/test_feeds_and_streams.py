@@ -143,6 +143,61 @@ def test_model_stage(spark):
     assert [(r.id, r.record.attribute) for r in records] == [(1, "a")]
 
 
+class Moody:
+    """Fails at first, then answers one text more each time."""
+
+    def __init__(self):
+        self.turn = 0
+
+    def __call__(self, texts):
+        self.turn += 1
+        if self.turn == 2:
+            raise RuntimeError("busy")
+        return [f"{{{x}}}" if i < self.turn else "?" for i, x in enumerate(texts)]
+
+
+def test_answers_survive_a_later_failure():
+    waits: list[float] = []
+    answers, errors = stages._asked(["a", "b", "c"], Moody(), 3, lambda x: x.startswith("{"), 2.0, waits.append)
+    assert answers == ["{a}", "{b}", "{c}"] and errors == [None] * 3 and waits == [2.0, 4.0]
+    answers, errors = stages._asked(["a", "b"], Moody(), 2, lambda x: x.startswith("{"))
+    assert answers == ["{a}", None] and errors == [None, "RuntimeError: busy"] and stages._asked([], Moody(), 2) == ([], [])
+
+
+def test_records_become_rows(spark):
+    records = spark.createDataFrame([(1, ("a", "1", "whole text", 3, 41.5)), (2, ("b", None, None, None, None))], "id bigint, record struct<attribute: string, value: string, context: string, page_number: int, lat: double>")
+    rows = {r.id: r for r in stages.extraction_rows(records, "id", "s", "v", "lat", "lon").collect()}
+    assert rows[1].data.asDict() == {"attribute": "a", "value": "1", "page_number": 3, "lat": 41.5} and (rows[1].latitude, rows[1].longitude) == (41.5, None)
+    assert json.loads(rows[2].provenance) == dict.fromkeys(stages.PROVENANCE) and json.loads(rows[1].provenance)["page_number"] == 3
+
+
+def test_pages_are_followed_to_the_last(spark, tmp_path):
+    asked: list[dict] = []
+
+    def transport(answers):
+        left = iter(answers)
+
+        def get(params):
+            asked.append(params)
+            return json.dumps(next(left))
+
+        return get
+
+    works = feeds.works_pages(transport([{"meta": {"next_cursor": "x"}, "results": []}, {"meta": {"next_cursor": None}, "results": []}]), ["T1"])
+    saved: dict[str, str] = {}
+    assert feeds.save_pages(works, date(2024, 1, 2), saved.__setitem__) == 2 and sorted(saved) == ["2024-01-02-000001.json", "2024-01-02-000002.json"]
+    assert [p["cursor"] for p in asked] == ["*", "x"] and "from_publication_date:2024-01-02" in asked[0]["filter"]
+    asked.clear()
+    search = feeds.search_pages(transport([{"token": "t", "data": [1]}, {"token": "u", "data": []}]), "man*grove  reef")
+    assert feeds.save_pages(search, None, lambda *_: None) == 2 and [p.get("token") for p in asked] == [None, "t"] and asked[0]["query"] == "mangrove reef"
+    asked.clear()
+    items = feeds.items_pages(transport([{"message": {"next-cursor": "y", "items": [1, 2]}}, {"message": {"next-cursor": "z", "items": [1]}}]), ["1234-5678"], size=2)
+    assert feeds.save_pages(items, None, lambda *_: None) == 2 and [p["cursor"] for p in asked] == ["*", "y"]
+    claimed, files = spark.range(4).withColumnRenamed("id", "paper_id"), spark.createDataFrame([(1, "x"), (3, "y"), (9, "z")], "paper_id bigint, text string")
+    there, back = feeds.with_files(claimed, files, "paper_id")
+    assert sorted(map(tuple, there.collect())) == [(1, "x"), (3, "y")] and sorted(r.paper_id for r in back.collect()) == [0, 2]
+
+
 def test_idle_clock():
     now = [0.0]
     clock = stages.IdleClock(10, lambda: now[0])

@@ -77,6 +77,14 @@ def test_enrichment_and_samples(spark):
     assert tuple(a.per_hour(times, "t").first()) == (5, 2.0, 2.5) and a.per_hour(times.limit(0), "t").first()[0] == 0
 
 
+def test_claims_take_rows_once(spark):
+    queue = spark.createDataFrame([(i, "new" if i % 2 else "done") for i in range(10)], "id int, status string")
+    taken, left = u.claim_and_set(queue, "status", "new", "busy", "id", 3)
+    again, rest = u.claim_and_set(left, "status", "new", "busy", "id", 3)
+    assert sorted(r.id for r in taken.collect()) == [1, 3, 5] and sorted(r.id for r in again.collect()) == [7, 9]
+    assert {r.id: r.status for r in rest.collect()} == {i: "busy" if i % 2 else "done" for i in range(10)}
+
+
 def test_build_of_nothing(spark):
     built = w.build(papers(spark), spark.createDataFrame([], EXTRACTIONS))
     assert built.extractions_fact.count() == 0 and built.rejects.count() == 0 and built.entity_dim.count() == 0

@@ -7,18 +7,15 @@ from pyspark.sql import functions as F
 
 from tidemark.session import checkpointed
 
-#: More rounds than this mean that something is wrong: labels also jump, so rounds grow with the log of the diameter.
-MAX_ROUNDS = 60
-
-
 def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(node, component): component is the smallest node that can be reached; any orderable type of node.
 
-    nodes: node; edges: a, b in either direction. Edges with unknown ends are ignored; an isolated node is its own.
+    nodes: node; edges: a, b in either direction. Edges with unknown ends are ignored; an isolated node is its own. Labels
+    only fall and also jump, so rounds come to an end and grow with the log of the diameter.
     """
     both = checkpointed(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = checkpointed(nodes.select("node").distinct().withColumn("component", F.col("node")))
-    for _ in range(MAX_ROUNDS):
+    while True:
         told = both.join(labels.select(F.col("node").alias("b"), "component"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
         lower = labels.join(told, "node", "left").select("node", "component", F.least("component", "near").alias("next"))
         jump = lower.select(F.col("node").alias("next"), F.col("next").alias("after"))
@@ -27,4 +24,3 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         labels = moved.select("node", F.col("next").alias("component"))
         if not changed:
             return labels
-    raise RuntimeError("components did not settle")

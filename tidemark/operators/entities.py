@@ -16,7 +16,6 @@ from tidemark.operators.numbering import numbered
 from tidemark.session import checkpointed
 
 DISTANCE_KM, SIMILARITY = 1.0, 0.85
-MAX_ROUNDS = 200
 
 
 def _cell(lat: Column, lon: Column, edge: float) -> Column:
@@ -72,8 +71,8 @@ def similar_names(names: DataFrame, similarity: float = SIMILARITY) -> DataFrame
     names: key, pos (distinct). Of T characters in both names at most (1 - similarity) T stay unmatched, which bounds the
     number of matching blocks and so from below the number of bigrams in common. Two names that have so many in common
     share one of each other's rarest bigrams, all but the guaranteed number of the commonest aside: those are the keys
-    of the join. Inside the join the length and the count of common bigrams are tested, before any row is made, and a
-    pair is kept under the first key it shares; the ratio itself is computed for what is left.
+    of the join. Inside the join, in which narrow rows without their texts meet, the length and the count of common bigrams
+    are tested before any row is made; the ratio itself is computed once for each pair that is left.
     """
     # M characters match in k blocks: M >= similarity T / 2, and k <= T - 2 M + 1, as each gap leaves one unmatched
     per_char = 3 * similarity / 2 - 1  # common bigrams number M - k >= 3 M - T - 1 >= per_char T - 1
@@ -90,15 +89,16 @@ def similar_names(names: DataFrame, similarity: float = SIMILARITY) -> DataFrame
     base = base.withColumn("lost", F.size("grams") - sum((F.bit_count(f"bits{w}") for w in range(1, 4)), F.bit_count("bits0")))
     needed = F.floor(per_char * (1 + shorter) * F.col("size") - 1 - F.col("twice"))
     keep = F.size("rare") - F.greatest(F.least(needed, F.size("rare")), F.lit(1)) + 1
-    placed = base.join(ranked, "pos").select("key", "pos", "size", "twice", "lost", *[f"bits{w}" for w in range(4)], F.slice("rare", F.lit(1), keep.cast("int")).alias("rare"))
-    keyed = placed.select("*", F.explode("rare").alias("gram"))
+    placed = base.join(ranked, "pos").select("pos", "size", "twice", "lost", *[f"bits{w}" for w in range(4)], F.slice("rare", F.lit(1), keep.cast("int")).alias("rare"))
+    keyed = checkpointed(placed.select("*", F.explode("rare").alias("gram")).drop("rare"))
     a, b = keyed.alias("a"), keyed.alias("b")
     total = F.col("a.size") + F.col("b.size")
     fits = (F.col("a.pos") > F.col("b.pos")) & (F.least("a.size", "b.size") * 2 >= F.lit(similarity) * total)
     both = [F.bit_count(F.col(f"a.bits{w}").bitwiseAND(F.col(f"b.bits{w}"))) for w in range(4)]
     enough = sum(both[1:], both[0]) + F.least("a.lost", "b.lost") >= F.floor(F.lit(per_char) * total - 1) - F.least("a.twice", "b.twice")
-    first = F.get(F.array_intersect("a.rare", "b.rare"), F.lit(0)) == F.col("a.gram")
-    met = a.join(b, (F.col("a.gram") == F.col("b.gram")) & fits & enough & first).select(F.col("a.key").alias("x"), F.col("b.key").alias("y"), F.col("a.pos").alias("later"), F.col("b.pos").alias("earlier"))
+    met = a.join(b, (F.col("a.gram") == F.col("b.gram")) & fits & enough).select(F.col("a.pos").alias("later"), F.col("b.pos").alias("earlier")).distinct()
+    for mine, put in (("later", "x"), ("earlier", "y")):
+        met = met.join(names.select(F.col("pos").alias(mine), F.col("key").alias(put)), mine)
 
     @F.pandas_udf("boolean")
     def alike(x: pd.Series, y: pd.Series) -> pd.Series:
@@ -114,11 +114,12 @@ def similar_names(names: DataFrame, similarity: float = SIMILARITY) -> DataFrame
 def name_leaders(names: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(key, pos, leader): in order of position, a name joins the first leader it resembles or becomes a leader.
 
-    The order is kept without a sequential task: in each round every name is settled whose earlier look-alikes are.
+    The order is kept without a sequential task: in each round every name is settled whose earlier look-alikes are, the
+    first open one at least.
     """
     links = checkpointed(similar_names(names, similarity))
     state = checkpointed(names.select("key", "pos", F.lit(None).cast("bigint").alias("leader")))
-    for _ in range(MAX_ROUNDS):
+    while True:
         open_names = state.filter("leader is null")
         seen = links.join(state.select(F.col("pos").alias("earlier"), F.col("leader").alias("other")), "earlier").groupBy(F.col("later").alias("pos")).agg(
             F.min(F.when(F.col("other") == F.col("earlier"), F.col("earlier"))).alias("first_leader"), F.min(F.when(F.col("other").isNull(), F.col("earlier"))).alias("first_open")
@@ -130,7 +131,6 @@ def name_leaders(names: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         state = checkpointed(state.filter("leader is not null").unionByName(moved))
         if not state.filter("leader is null").limit(1).count():
             return state
-    raise RuntimeError("names did not settle")
 
 
 def resolve_entities(rows: DataFrame, km: float = DISTANCE_KM, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:

@@ -12,7 +12,6 @@ from tidemark.session import checkpointed
 
 
 IDENTIFIERS = ("doi", "openalex_id", "semantic_scholar_id")
-MAX_ROUNDS = 50
 
 
 def insert_if_absent(target: DataFrame, batch: DataFrame, order: str) -> DataFrame:
@@ -34,7 +33,7 @@ def insert_if_absent(target: DataFrame, batch: DataFrame, order: str) -> DataFra
     lost = F.when(F.col("__rank.b") == 1, any_of([taken(c) for c in IDENTIFIERS])).when(F.col("__rank.b") == 2, taken("openalex_id")).otherwise(taken("semantic_scholar_id"))
     open_rows = checkpointed(rows.filter(~lost).select(*batch.columns, *[f"__{c}" for c in IDENTIFIERS], "__rank"))
     added = open_rows.limit(0)
-    for _ in range(MAX_ROUNDS):
+    while True:  # the first open row always wins
         # a row is added if it is the first open one under all of its identifiers; then all that share one with it lose
         wins = open_rows.withColumn("__wins", F.lit(True))
         for c in IDENTIFIERS:
@@ -48,7 +47,6 @@ def insert_if_absent(target: DataFrame, batch: DataFrame, order: str) -> DataFra
         open_rows = checkpointed(rest.select(open_rows.columns))
         if not open_rows.limit(1).count():
             return added.select(batch.columns)
-    raise RuntimeError("identifiers did not settle")
 
 
 def last_write_wins(target: DataFrame, batch: DataFrame, key: str, order: str) -> DataFrame:
@@ -79,6 +77,13 @@ def claim(target: DataFrame, column: str, value: str, key: str, size: int) -> Da
     return target.filter(F.col(column) == value).select(key).orderBy(key).limit(size)
 
 
+def claim_and_set(target: DataFrame, column: str, value: str, claimed: str, key: str, size: int) -> tuple[DataFrame, DataFrame]:
+    """(the claimed rows, ``target`` with them set to ``claimed``): a claim and its transition in one. The claim is
+    checkpointed, so both sides agree if a task is repeated; rows that another claim took before aren't there any more."""
+    taken = checkpointed(claim(target, column, value, key, size))
+    return target.join(taken, key, "left_semi"), compare_and_set(target, taken, key, column, value, claimed)
+
+
 def share_of(key: Column, worker: int, workers: int) -> Column:
     """Whether a row belongs to one of several workers: disjoint shares without locks."""
     return F.pmod(F.xxhash64(key), F.lit(workers)) == worker

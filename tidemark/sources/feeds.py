@@ -6,9 +6,10 @@ response per file, so that a run can be repeated and tested.
 
 from __future__ import annotations
 
+import json
 import time
 from abc import ABC, abstractmethod
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from datetime import date
 from functools import reduce
 
@@ -137,6 +138,69 @@ class PageSource(ABC):
         """Yields the JSON text of one page after the other."""
 
 
+def _works_next(body: dict) -> tuple[str, str] | None:
+    mark = (body.get("meta") or {}).get("next_cursor")
+    return ("cursor", mark) if mark else None
+
+
+def _search_next(body: dict) -> tuple[str, str] | None:
+    return ("token", body["token"]) if body.get("data") and body.get("token") else None
+
+
+def _items_next(size: int) -> Callable[[dict], tuple[str, str] | None]:
+    def follow(body: dict) -> tuple[str, str] | None:
+        message = body.get("message") or {}
+        full = len(message.get("items") or []) >= size
+        return ("cursor", message["next-cursor"]) if full and message.get("next-cursor") else None
+
+    return follow
+
+
+class CursorPages(PageSource):
+    """The pages of a feed, one after the other: ``get`` answers parameters with JSON text, ``follow`` names the parameter
+    that leads to the next page, or None on the last one."""
+
+    def __init__(self, get: Callable[[dict], str], params: Callable[[date | None], dict], follow: Callable[[dict], tuple[str, str] | None], delay: float = 0.0, sleep: Callable[[float], None] = time.sleep):
+        self.get, self.params, self.follow, self.delay, self.sleep = get, params, follow, delay, sleep
+
+    def fetch(self, since: date | None) -> Iterator[str]:
+        params = self.params(since)
+        while True:
+            text = self.get(dict(params))
+            yield text
+            step = self.follow(json.loads(text))
+            if step is None:
+                return
+            params[step[0]] = step[1]
+            if self.delay:
+                self.sleep(self.delay)
+
+
+def works_pages(get: Callable[[dict], str], topics: list[str], size: int = 200, **kw) -> CursorPages:
+    return CursorPages(get, lambda since: {"filter": works_filter(topics, since), "per-page": size, "cursor": "*"}, _works_next, **kw)
+
+
+def search_pages(get: Callable[[dict], str], query: str | None, size: int = 1000, **kw) -> CursorPages:
+    def params(since: date | None) -> dict:
+        out = {"limit": size, "openAccessPdf": ""}
+        return out | ({"publicationDateOrYear": f"{since.isoformat()}:"} if since else {}) | ({"query": search_query(query)} if query else {})
+
+    return CursorPages(get, params, _search_next, **kw)
+
+
+def items_pages(get: Callable[[dict], str], issns: list[str], size: int = 200, **kw) -> CursorPages:
+    return CursorPages(get, lambda since: {"filter": items_filter(issns, since), "rows": size, "cursor": "*"}, _items_next(size), **kw)
+
+
+def save_pages(pages: PageSource, since: date | None, put: Callable[[str, str], None]) -> int:
+    """Hands every page to ``put`` under a name that a repeated fetch gives again, and returns their number. What was saved
+    before a failure is kept: ``discover`` advances a source's mark by the pages that are there."""
+    n = 0
+    for n, text in enumerate(pages.fetch(since), 1):
+        put(f"{since.isoformat() if since else 'all'}-{n:06d}.json", text)
+    return n
+
+
 def get_with_retry(get: Callable[[], tuple[int, dict, str]], attempts: int = 5, base: float = 2.0, sleep: Callable[[float], None] = time.sleep) -> str:
     """The body of a request; on status 429 it waits as the answer says, else ever longer, and tries again."""
     for attempt in range(attempts):
@@ -159,6 +223,12 @@ def scan_texts(spark: SparkSession, folder: str) -> DataFrame:
     return rows.filter("paper_id is not null")
 
 
+def with_files(claimed: DataFrame, files: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(claimed rows with their file's columns, keys of those without one): the latter go back to their queue."""
+    joined = claimed.join(files.withColumn("__there", F.lit(True)), key, "left")
+    return joined.filter("__there").drop("__there"), joined.filter("__there is null").select(key)
+
+
 def scan_pdfs(spark: SparkSession, folder: str) -> DataFrame:
     """(paper_id, length) of a folder's ``<paper_id>.pdf`` files that look like one: 1024 bytes or more, and its mark."""
     rows = spark.read.format("binaryFile").option("pathGlobFilter", "*.pdf").load(folder)
@@ -168,8 +238,6 @@ def scan_pdfs(spark: SparkSession, folder: str) -> DataFrame:
 
 def split_setting(value: str | None) -> list[str]:
     """A list given with commas or as JSON; empty for none."""
-    import json
-
     if not value or not value.strip():
         return []
     if value.strip().startswith("["):

@@ -22,18 +22,21 @@ class Model(Protocol):
     def __call__(self, texts: list[str]) -> list[str]: ...
 
 
-def run_model(rows: DataFrame, key: str, text: str, model: Model, chunk: int = CHUNK, rounds: int = 1) -> DataFrame:
+def run_model(
+    rows: DataFrame, key: str, text: str, model: Model, chunk: int = CHUNK, rounds: int = 1, valid: Callable[[str], bool] | None = None, wait: float = 0.0
+) -> DataFrame:
     """(key, answer, error): the model's answer to each row, in chunks; a failing chunk fails its own rows only.
 
-    Empty answers are asked again ``rounds`` - 1 times. Errors come as data, so that a repeated task asks again and a
-    finished one doesn't: write the result before anything depends on it.
+    Rows whose answer is empty or not ``valid``, and rows of a chunk that failed, are asked again ``rounds`` - 1 times,
+    ``wait`` seconds later and twice as long each time; answers that were given stay. Errors come as data, so that a
+    repeated task asks again and a finished one doesn't: write the result before anything depends on it.
     """
 
     def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for at in range(0, len(frame), chunk):
                 part = frame.iloc[at : at + chunk]
-                answers, error = _asked(list(part[text].fillna("")), model, rounds)
+                answers, error = _asked(list(part[text].fillna("")), model, rounds, valid, wait)
                 yield pd.DataFrame({key: part[key].to_numpy(), "answer": answers, "error": error})
 
     kind = dict(rows.dtypes)[key]
@@ -41,20 +44,27 @@ def run_model(rows: DataFrame, key: str, text: str, model: Model, chunk: int = C
     return result.select(key, "answer", short_error(F.col("error")).alias("error"))
 
 
-def _asked(texts: list[str], model: Model, rounds: int) -> tuple[list[str | None], list[str | None]]:
+def _asked(
+    texts: list[str], model: Model, rounds: int, valid: Callable[[str], bool] | None = None, wait: float = 0.0, sleep: Callable[[float], None] = time.sleep
+) -> tuple[list[str | None], list[str | None]]:
     answers: list[str | None] = [None] * len(texts)
-    todo = list(range(len(texts)))
+    errors: list[str | None] = ["empty answer"] * len(texts)
     for turn in range(max(rounds, 1)):
+        todo = [i for i, a in enumerate(answers) if a is None]
+        if not todo:
+            break
+        if turn and wait:
+            sleep(wait * 2 ** (turn - 1))
         try:
-            for i, a in zip(todo, model([texts[i] for i in todo])):
-                answers[i] = a or None
+            given = list(model([texts[i] for i in todo]))
         except Exception as problem:  # noqa: BLE001 - whatever a model raises belongs to its rows
-            return [None] * len(texts), [f"{type(problem).__name__}: {problem}"] * len(texts)
-        todo = [i for i in todo if answers[i] is None]
-        if not todo or turn + 1 == rounds:
-            break
-        time.sleep(0)
-    return answers, [None if a is not None else "empty answer" for a in answers]
+            for i in todo:
+                errors[i] = f"{type(problem).__name__}: {problem}"
+            continue
+        for i, a in zip(todo, given):
+            fits = bool(a) and (valid is None or valid(a))
+            answers[i], errors[i] = (a, None) if fits else (None, "invalid answer" if a else "empty answer")
+    return answers, errors
 
 
 def truth_confidence(top: Column) -> Column:
@@ -80,6 +90,23 @@ def extracted_records(answers: DataFrame, key: str, schema: str) -> DataFrame:
     return items.select(key, F.from_json("item", schema).alias("record")).filter("record.value is not null")
 
 
+#: What a record tells about where it was read.
+PROVENANCE = ("page_number", "table_number", "row_index", "column_index", "source")
+
+
+def extraction_rows(records: DataFrame, key: str, schema_name: str, model_version: str, latitude: str | None = None, longitude: str | None = None) -> DataFrame:
+    """(key, schema_name, model_version, data, provenance, confidence, latitude, longitude) of records: ``data`` without the
+    document's text, ``provenance`` with the fields of PROVENANCE, null where a record has none, coordinates from the
+    named fields. Rows are appended, never replaced."""
+    fields = records.schema["record"].dataType.names
+    told = F.struct(*[(F.col(f"record.{p}") if p in fields else F.lit(None).cast("string")).alias(p) for p in PROVENANCE])
+    place = lambda name: (F.col(f"record.{name}").cast("double") if name in fields else F.lit(None).cast("double"))
+    return records.select(
+        key, F.lit(schema_name).alias("schema_name"), F.lit(model_version).alias("model_version"), F.struct(*[F.col(f"record.{f}").alias(f) for f in fields if f != "context"]).alias("data"),
+        F.to_json(told, {"ignoreNullFields": "false"}).alias("provenance"), F.lit(None).cast("float").alias("confidence"), place(latitude).alias("latitude"), place(longitude).alias("longitude"),
+    )
+
+
 class IdleClock:
     """Tells when a polling loop may end: only progress resets it; an empty queue ends it at once."""
 

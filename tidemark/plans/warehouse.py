@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 import json
-import os
 import uuid
 from dataclasses import dataclass, fields
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -160,16 +158,26 @@ def write_snapshot(warehouse: Warehouse, root: str) -> str:
         frame = getattr(warehouse, f.name)
         target = f"{root}/{name}/{f.name}"
         frame.write.json(target) if f.name == "rejects" else frame.write.parquet(target)
-    pointer = Path(root) / "CURRENT"
-    pending = pointer.with_name(f"CURRENT.{uuid.uuid4().hex}")
-    pending.write_text(json.dumps({"snapshot": name}))
-    os.replace(pending, pointer)
+    _move_pointer(warehouse.extractions_fact.sparkSession, root, json.dumps({"snapshot": name}))
     return name
 
 
+def _move_pointer(spark: SparkSession, root: str, text: str) -> None:
+    """Writes the pointer beside its place and renames it over the old one, in whatever file system ``root`` names."""
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    place, pending = hadoop.Path(f"{root}/CURRENT"), hadoop.Path(f"{root}/CURRENT.{uuid.uuid4().hex}")
+    out = pending.getFileSystem(conf).create(pending, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    rename = getattr(hadoop, "Options$Rename")
+    over = spark.sparkContext._gateway.new_array(rename, 1)
+    over[0] = rename.OVERWRITE
+    hadoop.FileContext.getFileContext(pending.getFileSystem(conf).makeQualified(pending).toUri(), conf).rename(pending.getFileSystem(conf).makeQualified(pending), place.getFileSystem(conf).makeQualified(place), over)
+
+
 def open_current(spark: SparkSession, root: str) -> Warehouse:
     """The tables of the snapshot that the pointer names."""
-    name = json.loads((Path(root) / "CURRENT").read_text())["snapshot"]
+    name = spark.read.schema("snapshot string").json(f"{root}/CURRENT").first()[0]
     read = lambda t: spark.read.schema("extraction_id bigint, paper_id bigint, reason string, detail string").json(f"{root}/{name}/{t}") if t == "rejects" else spark.read.parquet(f"{root}/{name}/{t}")
     return Warehouse(**{f.name: read(f.name) for f in fields(Warehouse)})
 

@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from tidemark.operators import quantities
 from tidemark.operators.quantities import changed_by_conversion, convert_quantities
 from tidemark.operators.wide import contradictions, pivot_wide
 
@@ -74,3 +75,26 @@ def test_missing_units_are_learned(spark):
     right = [r for r in result if r.factor == (1.0 if r.extraction_id % 2 else 1000.0)]
     assert len(result) == 100 and len(right) >= 95 and sum(r.route == "converted" for r in result) >= 60
     assert got.filter(F.col("probability") > 1).count() == 0
+
+
+def test_hidden_units_are_told(spark, monkeypatch):
+    """Units of rows that weren't trained on: most are told right, and those that would be applied nearly all."""
+    monkeypatch.setattr(quantities, "TRAINING_ROWS", 300)
+    catalogue = spark.createDataFrame([("nitrate", "number", "µmol/L", None)], CATALOGUE_DDL)
+    rows = [(i, i % 50, "m", ("nitrate", str(round(10 + i % 17 if i % 2 else (10 + i % 17) / 1000, 5)), "µM" if i % 2 else "mM", None, None), "c", 0.0) for i in range(900)]
+    frame = spark.createDataFrame(rows, EXTRACTION_DDL)
+    told = quantities.masked_accuracy(frame, catalogue).collect()
+    assert len(told) == 1 and told[0].n >= 500 and told[0].n_right >= 0.95 * told[0].n and told[0].n_confident_right >= 0.97 * told[0].n_confident
+    assert quantities.masked_accuracy(frame.limit(0), catalogue).count() == 0
+
+
+def test_every_stated_unit_is_a_candidate(spark):
+    """Units of one factor are one class, those without a factor another, and no number of units is too many."""
+    catalogue = spark.createDataFrame([("salinity", "number", "psu", None), ("nitrate", "number", "µmol/L", None)], CATALOGUE_DDL)
+    prefixes, volumes = ("p", "n", "µ", "m", "c", "d", "k", ""), ("L", "mL", "m^3", "dL")
+    units = [f"{p}mol/{v}" for p in prefixes for v in volumes] + ["mg/L", "g/L", "NTU"]
+    rows = [(i, i, "m", ("nitrate", "2", units[i % len(units)], None, None), "c", 0.0) for i in range(4 * len(units))]
+    read = quantities.readings(spark.createDataFrame(rows, EXTRACTION_DDL), catalogue)
+    classes = quantities.class_statistics(read.filter("unit_class is not null and attribute is not null"))["nitrate"]
+    factors = {c["factor"] for c in classes if c["key"] != quantities.OTHER}
+    assert len(classes) > 16 and len(factors) == len(classes) - 1 and sum(round(c["share"] * len(rows)) for c in classes) == len(rows)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import text as t
-from tidemark.functions.geo import EARTH_RADIUS_KM, haversine_km
+from tidemark.functions.geo import haversine_km
 from tidemark.functions.qualifier import FIELDS, qualifier
 from tidemark.functions.snippets import find_pages, find_snippets, page_list
 from tidemark.functions.units import canonical_factor, unit_form
@@ -204,7 +204,7 @@ def latest_extraction(spark: SparkSession, folder: str) -> DataFrame:
 _HAVERSINE = "2 * {r} * asin(sqrt(least(1.0, pow(sin(radians({c} - {a}) / 2), 2) + cos(radians({a})) * cos(radians({c})) * pow(sin(radians({d} - {b}) / 2), 2))))"
 
 
-@query(f"SELECT entity_id, CASE WHEN latitude IS NOT NULL AND longitude IS NOT NULL THEN round({_HAVERSINE.format(r=EARTH_RADIUS_KM, a='52.0', b='4.5', c='latitude', d='longitude')}, 6) END AS km FROM entity_dim")
+@query(f"SELECT entity_id, CASE WHEN latitude IS NOT NULL AND longitude IS NOT NULL THEN round({_HAVERSINE.format(r=6371.0088, a='52.0', b='4.5', c='latitude', d='longitude')}, 6) END AS km FROM entity_dim")
 def distances(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "entity_dim")
     return rows.select("entity_id", F.round(haversine_km(F.lit(52.0), F.lit(4.5), F.col("latitude"), F.col("longitude")), 6).alias("km"))
@@ -212,7 +212,7 @@ def distances(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"""WITH RECURSIVE p AS (SELECT DISTINCT latitude AS lat, longitude AS lon FROM extractions WHERE latitude IS NOT NULL AND longitude IS NOT NULL),
 i AS (SELECT row_number() OVER (ORDER BY lat, lon) AS i, lat, lon FROM p),
-e AS (SELECT x.i AS a, y.i AS b FROM i x JOIN i y ON y.lat BETWEEN x.lat - 0.01 AND x.lat + 0.01 AND {_HAVERSINE.format(r=EARTH_RADIUS_KM, a='x.lat', b='x.lon', c='y.lat', d='y.lon')} <= 1.0),
+e AS (SELECT x.i AS a, y.i AS b FROM i x JOIN i y ON y.lat BETWEEN x.lat - 0.01 AND x.lat + 0.01 AND {_HAVERSINE.format(r=6371.0088, a='x.lat', b='x.lon', c='y.lat', d='y.lon')} <= 1.0),
 c(a, b) AS (SELECT a, b FROM e UNION SELECT c.a, e.b FROM c JOIN e ON c.b = e.a),
 m AS (SELECT a, MIN(b) AS g FROM c GROUP BY a)
 SELECT i.lat, i.lon, f.lat AS first_lat, f.lon AS first_lon FROM m JOIN i ON i.i = m.a JOIN i f ON f.i = m.g""")

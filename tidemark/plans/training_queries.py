@@ -7,9 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.numbers import NUMBER, PLAIN, RAISED
 from tidemark.operators.quantities import changed_by_conversion, convert_quantities, masked_accuracy
-from tidemark.operators.wide import MISSING, contradictions, pivot_wide
+from tidemark.operators.wide import contradictions, pivot_wide
 from tidemark.sources.tables import table
 
 #: Few enough that the test catalogue of 27 attributes makes more than one block.
@@ -46,16 +45,17 @@ NUMBERS = (
     "suspended_particulate_matter", "total_alkalinity", "total_nitrogen", "turbidity", "ammonium",
 )
 
-_MISSING = ", ".join(f"'{x}'" for x in MISSING)
-_RAISED = f"translate(v, '{RAISED}', '{PLAIN}')"
 #: Every row of a catalogue attribute with its trimmed value and the number it states.
 STATED_SQL = f"""
 look AS (SELECT regexp_replace(lower(s), '[\\s_-]+', '', 'g') AS k, MIN(attribute) AS attribute FROM (SELECT attribute, unnest(list_prepend(attribute, coalesce(aliases, []))) AS s FROM attribute_catalogue) GROUP BY 1),
 kind AS (SELECT attribute, MIN(value_kind) AS value_kind FROM attribute_catalogue GROUP BY 1),
 raw AS (SELECT entity_id, item_id, recorded_at, regexp_replace(lower(attribute), '[\\s_-]+', '', 'g') AS k, regexp_replace(value, '^\\s+|\\s+$', '', 'g') AS t FROM direct_items WHERE entity_id IS NOT NULL),
-val AS (SELECT entity_id, item_id, recorded_at, attribute, value_kind, CASE WHEN lower(t) NOT IN ({_MISSING}) THEN t END AS v FROM raw JOIN look USING (k) JOIN kind USING (attribute)),
-stated AS (SELECT *, CASE WHEN value_kind IN ('number', 'integer') AND regexp_extract({_RAISED}, '{NUMBER}', 1) <> '' THEN TRY_CAST(replace(regexp_extract({_RAISED}, '{NUMBER}', 1), ',', '') || 'e' ||
-  coalesce(nullif(regexp_extract({_RAISED}, '{NUMBER}', 2) || regexp_extract({_RAISED}, '{NUMBER}', 3), ''), '0') AS DOUBLE) END AS x FROM val)"""
+val AS (SELECT entity_id, item_id, recorded_at, attribute, value_kind, CASE WHEN lower(t) NOT IN ('', '—', '-', '–', 'na', 'n/a', 'nd', 'n.d.', 'bdl', 'below detection', 'not reported', 'not stated', 'null', 'none') THEN t END AS v FROM raw JOIN look USING (k) JOIN kind USING (attribute)),
+plain AS (SELECT *, translate(v, '⁰¹²³⁴⁵⁶⁷⁸⁹⁻−‑', '0123456789---') AS w FROM val),
+first AS (SELECT *, regexp_extract(w, '[-+]?([0-9][0-9,]*([.][0-9]+)?|[.][0-9]+)') AS one FROM plain),
+power AS (SELECT *, w[strpos(w, one) + length(one):] AS rest FROM first),
+stated AS (SELECT * EXCLUDE (w, one, rest), CASE WHEN value_kind IN ('number', 'integer') AND one <> '' THEN TRY_CAST(replace(one, ',', '') || 'e' || coalesce(nullif(regexp_extract(rest, '^\\s*[eE]([-+]?[0-9]+)', 1), ''),
+  nullif(regexp_extract(rest, '^\\s*[×x]\\s*10\\^?\\{{?([-+]?[0-9]+)', 1), ''), '0') AS DOUBLE) END AS x FROM power)"""
 _LAST = """last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY entity_id, attribute ORDER BY recorded_at DESC, item_id DESC) AS r FROM stated
   WHERE CASE WHEN value_kind IN ('number', 'integer') THEN x IS NOT NULL ELSE v IS NOT NULL END) WHERE r = 1)"""
 _DATE = r"""CASE WHEN regexp_matches(v, '^\d{4}-\d{2}-\d{2}$') THEN TRY_CAST(v AS DATE)

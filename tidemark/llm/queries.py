@@ -105,8 +105,8 @@ _FIELDS = ("name", "identifiers", "ecosystem_type", "location", "date", "sub_loc
 
 
 def _canonical_sql(field: str) -> str:
-    low = f"replace(translate(lower(json_extract_string(data, '$.{field}')), '{copies.FOLDED[0]}', '{copies.FOLDED[1]}'), 'ß', 'ss')"
-    if field in copies.NUMERIC_FIELDS:
+    low = f"replace(translate(lower(json_extract_string(data, '$.{field}')), 'µςſı', 'μσsi'), 'ß', 'ss')"
+    if field in ("value", "date"):
         points = f"regexp_replace({low}, '\\.([^\\p{{N}}]|$)', '\\1', 'g')"
         return f"nullif(regexp_replace({points}, '[^\\p{{L}}\\p{{N}}\\p{{M}}\\p{{S}}\\p{{Pd}}.%‰]+', '', 'g'), '')"
     return f"nullif(regexp_replace(regexp_replace({low}, '[^\\p{{L}}\\p{{N}}\\p{{M}}\\p{{S}}%‰]+', '', 'g'), '[`^|~$]+', '', 'g'), '')"

@@ -26,7 +26,9 @@ def views():
 def plain(v):
     if isinstance(v, float) and math.isnan(v):
         return None
-    return v if v is None or isinstance(v, (bool, str)) else float(f"{float(v):.9g}") if isinstance(v, (int, float)) or hasattr(v, "quantize") else str(v)[:10]
+    if isinstance(v, (list, tuple)):
+        return tuple(map(plain, v))
+    return v if v is None or isinstance(v, (bool, str)) else float(f"{float(v):.9g}") if isinstance(v, (int, float)) or hasattr(v, "quantize") else str(v)
 
 
 @pytest.mark.skipif(not Path(SMALL).exists(), reason="no test tables")

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pathlib import Path
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.upsert import insert_if_absent
+from tidemark.operators.upsert import IDENTIFIERS, insert_if_absent
 from tidemark.schemas import VOTES
 from tidemark.sources.feeds import FEEDS, with_pdf
 
@@ -20,6 +19,12 @@ def stream_feed(spark: SparkSession, source: str, folder: str, files_per_trigger
     return with_pdf(mapper(pages))
 
 
+def _exists(spark: SparkSession, folder: str) -> bool:
+    """Whether a folder is there, in whatever file system it names."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def land_stream(rows: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
     """Appends the rows of each micro-batch whose identifiers the table at ``target`` doesn't hold yet.
 
@@ -30,8 +35,9 @@ def land_stream(rows: DataFrame, target: str, checkpoint: str) -> StreamingQuery
     def put(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         folder = f"{target}/batch={epoch}"
-        others = [str(p) for p in Path(target).glob("batch=*") if p.name != f"batch={epoch}"] if Path(target).exists() else []
-        known = spark.read.schema(batch.schema).parquet(*others) if others else spark.createDataFrame([], batch.schema)
+        known = spark.createDataFrame([], batch.schema)
+        if _exists(spark, target):  # only the identifiers of other batches are read
+            known = spark.read.schema(T.StructType([*batch.schema.fields, T.StructField("batch", T.LongType())])).parquet(target).filter(F.col("batch") != epoch).select(*IDENTIFIERS)
         order = F.struct(F.xxhash64("doi", "openalex_id", "semantic_scholar_id", "title").alias("h"), "title")
         insert_if_absent(known, batch.withColumn("__order", order), "__order").drop("__order").write.mode("overwrite").parquet(folder)
 

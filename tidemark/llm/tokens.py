@@ -27,7 +27,8 @@ def load_ranks(path: str | Path) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in Path(path).read_bytes().splitlines() if line)}
 
 
-_ENCODERS: dict[int, object] = {}
+#: By the identity of the ranks, which are kept with it, so that no other vocabulary can have the same.
+_ENCODERS: dict[int, tuple[dict[bytes, int], object]] = {}
 
 
 def encoder(ranks: dict[bytes, int]):
@@ -35,8 +36,8 @@ def encoder(ranks: dict[bytes, int]):
     import tiktoken
 
     if id(ranks) not in _ENCODERS:
-        _ENCODERS[id(ranks)] = tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return _ENCODERS[id(ranks)]
+        _ENCODERS[id(ranks)] = (ranks, tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}))
+    return _ENCODERS[id(ranks)][1]
 
 
 def safe_parts(text: str, part: int = PART) -> Iterator[str]:

@@ -285,3 +285,30 @@ def test_words_hold_the_bits_of_a_vector_exactly(spark):
     got = {r.key: [r[c] for c in sites.NAME_WORDS] for r in sites.prepared(rows.coalesce(1), "k", "n", "y", "x", "w", 0.0).collect()}
     assert got == {i: sites.bit_words(sites.read_name(n)[0]) for i, n in enumerate(names)}
     assert got[1] == [None] * len(sites.NAME_WORDS) and max(got[0]) > 1 << 53
+
+
+def test_every_pair_of_near_names_is_a_candidate(spark):
+    """Against all pairs that share an anchor; names of two misspellings, short ones and long ones included."""
+    rng = random.Random(11)
+    letters = "abcdefghilmnoprstuv"
+    word = lambda n: "".join(rng.choice(letters) for _ in range(n))
+
+    def misspelt(name: str, times: int) -> str:
+        for _ in range(times):
+            i = rng.randrange(max(1, len(name) - 1))
+            name = rng.choice([name[:i] + name[i + 1 : i + 2] + name[i : i + 1] + name[i + 2 :], name[:i] + name[i + 1 :] or name, name[:i] + rng.choice(letters) + name[i + 1 :], name[: i + 1] + name[i:]])
+        return name
+
+    names = [word(n) for n in (2, 3, 4, 5, 5, 6, 7, 8, 9, 10, 11, 12, 14, 17, 22, 27, 32) for _ in range(6)]
+    place = lambda i: (10.0, 20.0, None) if i % 3 == 0 else (None, None, "Torsa Bay") if i % 3 == 1 else (None, None, None)
+    left = [(i, n, *place(i)) for i, n in enumerate(names)]
+    right = [(1000 + 10 * i + k, misspelt(n, k), *place(i)) for i, n in enumerate(names) for k in (1, 2, 3)]
+    a, b = (sites.prepared(spark.createDataFrame(x, "k int, n string, y double, x double, w string"), "k", "n", "y", "x", "w", km) for x, km in ((left, 0.0), (right, sites.NEAR_KM)))
+
+    def near(p, q) -> bool:
+        p, q = ({i for c, chunk in enumerate(sites.bit_chunks(sites.read_name(t)[0])) for i in range(c * 64, c * 64 + 64) if chunk >> (i - c * 64) & 1} for t in (p, q))
+        return len(p ^ q) <= sites.RADIUS or 2 * len(p & q) / (len(p) + len(q)) >= 0.7
+
+    want = {(i[0], j[0]) for i in left for j in right if sites.read_name(i[1])[0] and sites.read_name(j[1])[0] and near(i[1], j[1])}
+    found = [(r.a_key, r.b_key) for r in sites.candidate_pairs(a, b).collect()]
+    assert len(found) == len(set(found)) and set(found) == want

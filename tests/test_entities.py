@@ -9,10 +9,12 @@ from difflib import SequenceMatcher
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators import components
 from tidemark.operators.components import connected_components
-from tidemark.operators.entities import name_leaders, point_clusters, resolve_entities
+from tidemark.operators.entities import name_leaders, point_clusters, resolve_entities, similar_names
 from tidemark.operators.numbering import first_seen_ids, numbered
 from tidemark.operators.sampling import hash_sample
+from tidemark.session import checkpointed
 
 DDL = "row_key bigint, name string, latitude double, longitude double, entity_id string"
 
@@ -54,6 +56,33 @@ def test_leaders_follow_the_order(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("similarity", [0.85, 0.75])
+def test_similar_names_against_all_pairs(spark, similarity):
+    rng = random.Random(6)
+
+    def changed(name: str) -> str:
+        for _ in range(rng.randint(0, 5)):
+            i = rng.randrange(len(name))
+            name = rng.choice([name[:i] + name[i + 1 :] or name, name[:i] + rng.choice("aeo rst7") + name[i:], name[:i] + rng.choice("aeo rst") + name[i + 1 :]])
+        return name
+
+    roots = ["".join(rng.choice(["lo", "la", "mar", "ke", "no", "ti", "a", "ee"]) for _ in range(n)) for n in (1, 2, 2, 3, 3, 4, 5, 6, 7, 9, 14, 40, 45, 60)]
+    names = sorted({changed(r) for r in roots for _ in range(12)} | {"é" * 5, "é" * 6, "aaaaaaaaab", "aaaaaaaaa"})
+    rng.shuffle(names)
+    want = {(i, j) for i, x in enumerate(names) for j, y in enumerate(names[:i]) if SequenceMatcher(None, x, y).ratio() >= similarity}
+    got = [tuple(r) for r in similar_names(spark.createDataFrame([(n, i) for i, n in enumerate(names)], "key string, pos bigint"), similarity).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_components_work_on_linked_nodes_only(spark, monkeypatch):
+    """Lone nodes keep their own label without taking part in the rounds."""
+    sizes = []
+    monkeypatch.setattr(components, "checkpointed", lambda frame: sizes.append(checkpointed(frame).count()) or checkpointed(frame))
+    nodes, edges = spark.range(1000).select(F.col("id").alias("node")), spark.createDataFrame([(1, 2), (3, 2), (7, 5000)], "a bigint, b bigint")
+    got = {r.node: r.component for r in components.connected_components(nodes, edges).collect()}
+    assert got == {i: 1 if i in (2, 3) else i for i in range(1000)} and max(sizes) <= 6
+
+
 def test_clusters_against_all_pairs(spark):
     rng = random.Random(2)
     centres = [(89.999, 0.0), (-89.995, 120.0), (0.0, 179.999), (0.002, -179.999), (45.0, 7.0), (45.02, 7.01)]

@@ -14,7 +14,9 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     only fall and also jump, so rounds come to an end and grow with the log of the diameter.
     """
     both = checkpointed(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = checkpointed(nodes.select("node").distinct().withColumn("component", F.col("node")))
+    nodes = nodes.select("node").distinct()
+    # rounds go over nodes with an edge only
+    labels = checkpointed(nodes.join(both.select(F.col("a").alias("node")).distinct(), "node", "left_semi").withColumn("component", F.col("node")))
     while True:
         told = both.join(labels.select(F.col("node").alias("b"), "component"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
         lower = labels.join(told, "node", "left").select("node", "component", F.least("component", "near").alias("next"))
@@ -23,4 +25,4 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         changed = moved.filter(F.col("next") != F.col("component")).limit(1).count()
         labels = moved.select("node", F.col("next").alias("component"))
         if not changed:
-            return labels
+            return nodes.join(labels, "node", "left").select("node", F.coalesce("component", "node").alias("component"))

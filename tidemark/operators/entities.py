@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from difflib import SequenceMatcher
 from functools import reduce
 
@@ -16,6 +17,10 @@ from tidemark.operators.numbering import numbered
 from tidemark.session import checkpointed
 
 DISTANCE_KM, SIMILARITY = 1.0, 0.85
+#: Cubes further apart than REACH along an axis can't be linked; cubes are paired in blocks of BLOCK along each axis.
+REACH, BLOCK = 2, 16
+#: From this length on the least number of common grams is taken from its formula, not from a list.
+LONG_NAME = 100
 
 
 def _cell(lat: Column, lon: Column, edge: float) -> Column:
@@ -34,11 +39,18 @@ def point_clusters(points: DataFrame, km: float = DISTANCE_KM) -> DataFrame:
     """
     edge = km / 3**0.5 * (1 - 1e-6)
     placed = checkpointed(points.select("lat", "lon", _cell(F.col("lat"), F.col("lon"), edge).alias("cell")))
-    cells = placed.groupBy("cell").agg(F.avg("lat").alias("mid_lat"), F.min(F.struct("lat", "lon")).alias("some"))
-    steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(k).alias("k")) for i in range(-2, 3) for j in range(-2, 3) for k in range(-2, 3) if (i, j, k) > (0, 0, 0)])
-    moved = F.struct(*[(F.col(f"cell.{n}") + F.col(f"s.{s}")).alias(n) for n, s in zip("xyz", "ijk")])
-    around = cells.select("cell", F.col("some").alias("a_some"), F.explode(steps).alias("s")).select("cell", "a_some", moved.alias("other"))
-    pairs = checkpointed(around.join(cells.select(F.col("cell").alias("other"), F.col("some").alias("b_some")), "other").select("cell", "other", "a_some", "b_some"))
+    cells = placed.groupBy("cell").agg(F.min(F.struct("lat", "lon")).alias("some"))
+    # neighbouring cubes meet in blocks of BLOCK cubes a side: a cube goes to its block, and once to each block within reach
+    axis = lambda n, by: F.floor((F.col(f"cell.{n}") + by) / BLOCK)
+    near = cells.select("cell", "some", *[F.array_distinct(F.array(axis(n, -REACH), axis(n, REACH))).alias(n) for n in "xyz"])
+    for n in "xyz":
+        near = near.withColumn(n, F.explode(n))
+    own = cells.select("cell", F.col("some").alias("a_some"), F.xxhash64(*[axis(n, 0) for n in "xyz"]).alias("block"))
+    near = near.select(F.col("cell").alias("other"), F.col("some").alias("b_some"), F.xxhash64("x", "y", "z").alias("block"))
+    beside = F.col("other") > F.col("cell")
+    for n in "xyz":
+        beside = beside & (F.abs(F.col(f"other.{n}") - F.col(f"cell.{n}")) <= REACH)
+    pairs = checkpointed(own.alias("o").join(near.alias("n"), (F.col("o.block") == F.col("n.block")) & beside).select("cell", "other", "a_some", "b_some"))
 
     def nearest(mine: str, goal: str, out: str) -> DataFrame:
         """The point of the cube ``mine`` nearest to some point of the other one, for each pair."""
@@ -65,41 +77,83 @@ def common_name(rows: DataFrame, keys: list[str]) -> DataFrame:
     return counted.groupBy(*keys).agg(F.max_by("name", F.struct("n", (-F.col("first")).alias("first"))).alias("name"))
 
 
+def _grams(q: int) -> Column:
+    return F.transform(F.sequence(F.lit(1), F.length("key") - (q - 1)), lambda i: F.substring(F.col("key"), i, F.lit(q)))
+
+
+def _common(q: int, total: int, similarity: float) -> int:
+    """How many q-grams two names of ``total`` characters have in common at least."""
+    matched = math.ceil(similarity / 2 * total - 1e-9)
+    return matched - (q - 1) * (total - 2 * matched + 1)
+
+
+def _guaranteed(q: int, similarity: float) -> Column:
+    """Of a name of ``size``: the least number of q-grams in common with any similar one of those that meet by q-grams, null
+    if none does. Names of together T characters meet by trigrams if that guarantees one, else by bigrams or letters."""
+    shorter = similarity / (2 - similarity)  # the least length of a partner, as a share of a name's own
+    growth = lambda n: similarity / 2 - (n - 1) * (1 - similarity)
+    # M - (q - 1)(T - 2 M + 1) with M >= similarity T / 2: what long names have in common at least
+    long_name = lambda n, size: growth(n) * (1 + shorter) * size - (n - 1)
+    sure = [n for n in (3, 2) if long_name(n, LONG_NAME) >= 1] + [1]  # of the others even long names may share none
+    kind = lambda total: next((n for n in sure if _common(n, total, similarity) >= 1), 1)
+    by_size = []
+    for size in range(LONG_NAME):
+        totals = [size + other for other in range(max(1, math.ceil(size * shorter - 1e-9)), math.floor(size / shorter + 1e-9) + 1)] if size else []
+        met = [_common(q, t, similarity) for t in totals if kind(t) == q]
+        by_size.append(F.lit(max(1, min(met)) if met else None).cast("int"))
+    tail = F.greatest(F.lit(1), F.floor(long_name(q, F.col("size")) - 1e-9).cast("int")) if q == sure[0] else F.lit(None).cast("int")
+    return F.when(F.col("size") < LONG_NAME, F.element_at(F.array(*by_size), F.col("size") + 1)).otherwise(tail)
+
+
 def similar_names(names: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(later, earlier) positions of names with SequenceMatcher ratio >= similarity, the later name first.
 
-    names: key, pos (distinct). Of T characters in both names at most (1 - similarity) T stay unmatched, which bounds the
-    number of matching blocks and so from below the number of bigrams in common. Two names that have so many in common
-    share one of each other's rarest bigrams, all but the guaranteed number of the commonest aside: those are the keys
-    of the join. Inside the join, in which narrow rows without their texts meet, the length and the count of common bigrams
-    are tested before any row is made; the ratio itself is computed once for each pair that is left.
+    names: key, pos (distinct). Of T characters in both names M >= similarity T / 2 match in k <= T - 2 M + 1 blocks, as each
+    gap leaves one unmatched. So M - 2 k trigrams are in common, M - k bigrams where that says nothing, and M letters. Two names that
+    have so many in common share one of each other's rarest grams, all but the guaranteed number of the commonest aside:
+    those are the keys of the join. Inside the join, in which narrow rows without their texts meet, the length and the
+    counts of common bigrams and letters are tested before any row is made, then the edit distance; the ratio itself is computed once for each pair that is left.
     """
-    # M characters match in k blocks: M >= similarity T / 2, and k <= T - 2 M + 1, as each gap leaves one unmatched
-    per_char = 3 * similarity / 2 - 1  # common bigrams number M - k >= 3 M - T - 1 >= per_char T - 1
-    shorter = similarity / (2 - similarity)  # the least length of a partner, as a share of a name's own
-    grams = F.transform(F.sequence(F.lit(1), F.length("key") - 1), lambda i: F.substring(F.col("key"), i, F.lit(2)))
-    base = names.withColumn("size", F.length("key")).withColumn("grams", F.when(F.col("size") > 1, F.array_distinct(grams)).otherwise(F.array("key")))
+    base = names.withColumn("size", F.length("key")).withColumn("grams", F.when(F.col("size") > 1, F.array_distinct(_grams(2))).otherwise(F.array("key")))
     base = base.withColumn("twice", F.greatest(F.col("size") - 1 - F.size("grams"), F.lit(0)))
-    rarity = base.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count("*").alias("df"))
-    ranked = base.select("pos", F.explode("grams").alias("gram")).join(rarity, "gram").groupBy("pos").agg(F.transform(F.sort_array(F.collect_list(F.struct("df", "gram"))), lambda g: g["gram"]).alias("rare"))
     # the bigrams as 256 bits: what two names share is counted without touching strings; bits lost to equal places count as shared
     place = lambda g: F.pmod(F.xxhash64(g), F.lit(256)).cast("int")
     word = lambda w: F.aggregate("grams", F.lit(0).cast("bigint"), lambda v, g: F.when(F.floor(place(g) / 64) == w, v.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), place(g) % 64))).otherwise(v))
     base = base.select("*", *[word(w).alias(f"bits{w}") for w in range(4)])
+    # and the letters as 128: each letter's first four occurrences have a place of their own
+    said = F.transform(F.sequence(F.lit(1), F.length("key")), lambda i: F.struct(F.substring(F.col("key"), i, F.lit(1)).alias("ch"), F.substring(F.col("key"), F.lit(1), i).alias("so_far")))
+    times = lambda x: F.length(x["so_far"]) - F.length(F.replace(x["so_far"], x["ch"], F.lit("")))
+    letters = F.transform(said, lambda x: (F.ascii(x["ch"]) % 32 + 32 * (F.least(times(x), F.lit(4)) - 1)).cast("int"))
+    base = base.withColumn("letters", letters)
+    half = lambda w: F.aggregate("letters", F.lit(0).cast("bigint"), lambda v, at: F.when(F.floor(at / 64) == w, v.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), at % 64))).otherwise(v))
+    base = base.select("*", *[half(w).alias(f"letters{w}") for w in range(2)]).withColumn("letters_lost", F.col("size") - F.bit_count("letters0") - F.bit_count("letters1")).drop("letters")
     base = base.withColumn("lost", F.size("grams") - sum((F.bit_count(f"bits{w}") for w in range(1, 4)), F.bit_count("bits0")))
-    needed = F.floor(per_char * (1 + shorter) * F.col("size") - 1 - F.col("twice"))
-    keep = F.size("rare") - F.greatest(F.least(needed, F.size("rare")), F.lit(1)) + 1
-    placed = base.join(ranked, "pos").select("pos", "size", "twice", "lost", *[f"bits{w}" for w in range(4)], F.slice("rare", F.lit(1), keep.cast("int")).alias("rare"))
-    keyed = checkpointed(placed.select("*", F.explode("rare").alias("gram")).drop("rare"))
-    a, b = keyed.alias("a"), keyed.alias("b")
+    base = checkpointed(base.withColumn("single", F.array_distinct(_grams(1))).withColumn("trigrams", F.when(F.col("size") > 2, F.array_distinct(_grams(3))).otherwise(F.array().cast("array<string>"))))
+    kinds = F.explode(F.array(*[F.struct(F.lit(q).alias("q"), F.col(c).alias("of"), _guaranteed(q, similarity).alias("c")) for q, c in ((3, "trigrams"), (2, "grams"), (1, "single"))])).alias("kind")
+    said = base.select("pos", "size", kinds).filter("kind.c is not null and size(kind.of) > 0")
+    gram = said.select("pos", "size", "kind.q", "kind.c", F.size("kind.of").alias("n"), F.explode("kind.of").alias("gram"))
+    rarity = gram.groupBy("gram").agg(F.count("*").alias("df"))
+    ranked = gram.join(rarity, "gram").groupBy("pos", "size", "q", "c", "n").agg(F.transform(F.sort_array(F.collect_list(F.struct("df", "gram"))), lambda g: g["gram"]).alias("rare"))
+    repeated = F.greatest(F.col("size") - F.col("q") + 1 - F.col("n"), F.lit(0))
+    keep = F.col("n") - F.greatest(F.least(F.col("c") - repeated, F.col("n")), F.lit(1)) + 1
+    placed = ranked.select("pos", F.slice("rare", F.lit(1), keep.cast("int")).alias("rare")).join(base.drop("key", "grams", "trigrams", "single"), "pos")
+    placed = checkpointed(placed)
+    keyed = lambda: placed.select("*", F.explode("rare").alias("gram")).drop("rare")
+    a, b = keyed().alias("a"), keyed().alias("b")
     total = F.col("a.size") + F.col("b.size")
+    matched = F.ceil(total * (similarity / 2) - 1e-9)  # that many characters at least
     fits = (F.col("a.pos") > F.col("b.pos")) & (F.least("a.size", "b.size") * 2 >= F.lit(similarity) * total)
     both = [F.bit_count(F.col(f"a.bits{w}").bitwiseAND(F.col(f"b.bits{w}"))) for w in range(4)]
-    enough = sum(both[1:], both[0]) + F.least("a.lost", "b.lost") >= F.floor(F.lit(per_char) * total - 1) - F.least("a.twice", "b.twice")
-    met = a.join(b, (F.col("a.gram") == F.col("b.gram")) & fits & enough).select(F.col("a.pos").alias("later"), F.col("b.pos").alias("earlier")).distinct()
+    enough = sum(both[1:], both[0]) + F.least("a.lost", "b.lost") >= 3 * matched - total - 1 - F.least("a.twice", "b.twice")
+    spelt = [F.bit_count(F.col(f"a.letters{w}").bitwiseAND(F.col(f"b.letters{w}"))) for w in range(2)]
+    spelt = spelt[0] + spelt[1] + F.least("a.letters_lost", "b.letters_lost") >= matched
+    met = a.join(b, (F.col("a.gram") == F.col("b.gram")) & fits & spelt & enough).select(F.col("a.pos").alias("later"), F.col("b.pos").alias("earlier")).distinct()
     for mine, put in (("later", "x"), ("earlier", "y")):
         met = met.join(names.select(F.col("pos").alias(mine), F.col("key").alias(put)), mine)
 
+    total = F.length("x") + F.length("y")  # what doesn't match is inserted or deleted
+    met = met.filter(F.levenshtein("x", "y") <= total - 2 * F.ceil(total * (similarity / 2) - 1e-9))
+
     @F.pandas_udf("boolean")
     def alike(x: pd.Series, y: pd.Series) -> pd.Series:
         def test(p: str, q: str) -> bool:

@@ -133,7 +133,7 @@ def build(papers: DataFrame, extractions: DataFrame, settings: Settings | None =
     facts = with_id(with_id(good, events, EVENT_KEY, "n"), shapes, QUALIFIER_KEY, "n")
     same_model = F.col("model_version").eqNullSafe(F.col("of_version"))
     facts = facts.join(last_model.withColumnRenamed("model_version", "of_version"), same_model).drop("of_version").join(assigned.withColumnRenamed("row_key", "extraction_id"), "extraction_id")
-    flagged = checkpointed(duplicate_flags(facts, list(FACT_KEY), "extraction_id"))
+    flagged = checkpointed(duplicate_flags(facts.select("extraction_id", *FACT_KEY), list(FACT_KEY), "extraction_id"))
     kept = numbered(flagged.filter("kept"), "fact_id", "extraction_id")
     fact = kept.select(
         "fact_id", F.col("extraction_id").alias("source_extraction_id"), "paper_id", "extraction_model_id", "entity_id", "event_id", "attribute", "quantity_raw", "units_raw",

@@ -9,7 +9,7 @@ from difflib import SequenceMatcher
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import components
+from tidemark.operators import components, entities
 from tidemark.operators.components import connected_components
 from tidemark.operators.entities import name_leaders, point_clusters, resolve_entities, similar_names
 from tidemark.operators.numbering import first_seen_ids, numbered
@@ -74,6 +74,30 @@ def test_similar_names_against_all_pairs(spark, similarity):
     assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_leaders_of_many_links_in_rounds(spark, monkeypatch):
+    """One task and rounds tell the same leaders."""
+    rng = random.Random(5)
+    frame = checkpointed(spark.createDataFrame([("".join(rng.choice("ab") for _ in range(7)) + str(i % 9), i) for i in rng.sample(range(500), 80)], "key string, pos bigint"))
+    at_once = sorted(tuple(r) for r in name_leaders(frame).collect())
+    monkeypatch.setattr(entities, "FEW_LINKS", 0)
+    assert sorted(tuple(r) for r in name_leaders(frame).collect()) == at_once and len({r[2] for r in at_once}) < 80
+
+
+@pytest.mark.parametrize("size", [3, 40])
+def test_similar_names_in_chunks(spark, monkeypatch, size):
+    """Pairs are found across chunks, also of names longer than a word, and no candidates are shuffled for it."""
+    monkeypatch.setattr(entities, "CHUNK", size)
+    rng = random.Random(8)
+    roots = ["".join(rng.choice(["lo", "mar", "ke", "no", "ti", "é"]) for _ in range(n)) for n in (3, 4, 5, 6, 30, 31, 32)]
+    names = sorted({r[:i] + rng.choice("aeo ") + r[i + rng.randint(0, 1) :] for r in roots for i in rng.sample(range(len(r)), 5)})
+    rng.shuffle(names)
+    want = {(i, j) for i, x in enumerate(names) for j, y in enumerate(names[:i]) if SequenceMatcher(None, x, y).ratio() >= 0.85}
+    frame = similar_names(spark.createDataFrame([(n, i) for i, n in enumerate(names)], "key string, pos bigint"))
+    got = [tuple(r) for r in frame.collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    assert "Exchange" not in frame._jdf.queryExecution().executedPlan().toString()
+
+
 def test_components_work_on_linked_nodes_only(spark, monkeypatch):
     """Lone nodes keep their own label without taking part in the rounds."""
     sizes = []

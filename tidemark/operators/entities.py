@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterator
 from difflib import SequenceMatcher
 from functools import reduce
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,8 +22,14 @@ from tidemark.session import checkpointed
 DISTANCE_KM, SIMILARITY = 1.0, 0.85
 #: Cubes further apart than REACH along an axis can't be linked; cubes are paired in blocks of BLOCK along each axis.
 REACH, BLOCK = 2, 16
-#: From this length on the least number of common grams is taken from its formula, not from a list.
-LONG_NAME = 100
+#: Names are compared in chunks of about CHUNK, so long as those are no more than MOST_CHUNKS.
+CHUNK, MOST_CHUNKS = 20_000, 64
+#: So many links of similar names fit into one task.
+FEW_LINKS = 4_000_000
+#: Names of up to so many characters are compared as the bits of a word.
+WORD = 64
+#: How many of a letter's occurrences have a bit of their own, by code point modulo 32: 64 bits in all.
+PLACES = (4, 4, 1, 1, 2, 4, 1, 1, 2, 3, 1, 1, 3, 2, 3, 3, 2, 1, 4, 3, 3, 3, 1, 1, 1, 1, 1, 1, 2, 1, 1, 2)
 
 
 def _cell(lat: Column, lon: Column, edge: float) -> Column:
@@ -77,101 +86,180 @@ def common_name(rows: DataFrame, keys: list[str]) -> DataFrame:
     return counted.groupBy(*keys).agg(F.max_by("name", F.struct("n", (-F.col("first")).alias("first"))).alias("name"))
 
 
-def _grams(q: int) -> Column:
-    return F.transform(F.sequence(F.lit(1), F.length("key") - (q - 1)), lambda i: F.substring(F.col("key"), i, F.lit(q)))
-
-
-def _common(q: int, total: int, similarity: float) -> int:
-    """How many q-grams two names of ``total`` characters have in common at least."""
-    matched = math.ceil(similarity / 2 * total - 1e-9)
-    return matched - (q - 1) * (total - 2 * matched + 1)
-
-
-def _guaranteed(q: int, similarity: float) -> Column:
-    """Of a name of ``size``: the least number of q-grams in common with any similar one of those that meet by q-grams, null
-    if none does. Names of together T characters meet by trigrams if that guarantees one, else by bigrams or letters."""
-    shorter = similarity / (2 - similarity)  # the least length of a partner, as a share of a name's own
-    growth = lambda n: similarity / 2 - (n - 1) * (1 - similarity)
-    # M - (q - 1)(T - 2 M + 1) with M >= similarity T / 2: what long names have in common at least
-    long_name = lambda n, size: growth(n) * (1 + shorter) * size - (n - 1)
-    sure = [n for n in (3, 2) if long_name(n, LONG_NAME) >= 1] + [1]  # of the others even long names may share none
-    kind = lambda total: next((n for n in sure if _common(n, total, similarity) >= 1), 1)
-    by_size = []
-    for size in range(LONG_NAME):
-        totals = [size + other for other in range(max(1, math.ceil(size * shorter - 1e-9)), math.floor(size / shorter + 1e-9) + 1)] if size else []
-        met = [_common(q, t, similarity) for t in totals if kind(t) == q]
-        by_size.append(F.lit(max(1, min(met)) if met else None).cast("int"))
-    tail = F.greatest(F.lit(1), F.floor(long_name(q, F.col("size")) - 1e-9).cast("int")) if q == sure[0] else F.lit(None).cast("int")
-    return F.when(F.col("size") < LONG_NAME, F.element_at(F.array(*by_size), F.col("size") + 1)).otherwise(tail)
+def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The names of a partition as one row: positions, lengths, letters as 64 bits, and the texts."""
+    table = pa.Table.from_batches(list(batches)) if (batches := [b for b in batches if b.num_rows]) else None
+    if table is None:
+        return
+    pos, keys = table.column("pos").to_numpy().astype(np.int64), table.column("key").to_pylist()
+    lens = np.array([len(k) for k in keys], np.int64)
+    flat = np.frombuffer("".join(keys).encode("utf-32-le", "surrogatepass"), np.uint32)
+    row = np.repeat(np.arange(len(keys)), lens)
+    counts = np.bincount(row * 32 + flat % 32, minlength=len(keys) * 32).reshape(-1, 32)
+    letters, at = np.zeros(len(keys), np.uint64), 0
+    for letter, places in enumerate(PLACES):
+        for n in range(places):
+            letters |= (counts[:, letter] > n).astype(np.uint64) << np.uint64(at)
+            at += 1
+    packed = {"pos": pos, "lens": lens, "letters": letters}
+    data = {c: pa.array([v.tobytes()], pa.binary()) for c, v in packed.items()} | {"text": pa.array(["".join(keys).encode("utf-8", "surrogatepass")], pa.binary())}
+    ends = {"chunk": TaskContext.get().partitionId(), "shortest": int(lens.min()), "longest": int(lens.max())}
+    yield pa.RecordBatch.from_pydict({c: pa.array([v], pa.int32()) for c, v in ends.items()} | data)
+
+
+class _Chunk:
+    """The names of one row of ``_feature_rows``; ``side`` is the prefix of its columns."""
+
+    def __init__(self, row: dict, side: str):
+        self.pos, self.lens = np.frombuffer(row[f"{side}_pos"], np.int64), np.frombuffer(row[f"{side}_lens"], np.int64)
+        self.letters = np.frombuffer(row[f"{side}_letters"], np.uint64)
+        self.text, self.ends = row[f"{side}_text"].decode("utf-8", "surrogatepass"), np.cumsum(self.lens)
+
+    def key(self, i: int) -> str:
+        return self.text[self.ends[i] - self.lens[i] : self.ends[i]]
+
+    def spelt(self) -> np.ndarray:
+        """A row of code points modulo 32 for each name, those of its first WORD characters, 32 behind its end."""
+        flat = np.frombuffer(self.text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        at = np.arange(min(WORD, int(self.lens.max())))
+        inside = at < self.lens[:, None]
+        return np.where(inside, flat[np.where(inside, (self.ends - self.lens)[:, None] + at, 0)] % 32, 32).astype(np.uint8)
+
+    def places(self) -> np.ndarray:
+        """Where a name has each of them, as bits; a last column of zeros for what isn't there."""
+        out, spelt = np.zeros((len(self.lens), 33), np.uint64), self.spelt()
+        for n in range(spelt.shape[1]):
+            out[np.arange(len(out)), spelt[:, n]] |= np.uint64(1 << n)
+        out[:, 32] = 0
+        return out
+
+
+def _near_letters(x: _Chunk, y: _Chunk, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places in x and y of names whose letters differ in no more places than similar names' may.
+
+    Names of x that agree in length and in the most telling letter bits are compared together, and only with names of y
+    that don't differ too much in those bits already.
+    """
+    said = np.concatenate([x.letters[:: max(1, len(x.letters) // 2000)], y.letters[:: max(1, len(y.letters) // 2000)]])
+    share = np.array([((said >> np.uint64(b)) & np.uint64(1)).mean() for b in range(64)])
+    telling = np.argsort(np.abs(share - 0.5), kind="stable")[: max(0, min(12, int(math.log2(len(x.letters) / 8 + 1))))]
+    brief = lambda bits: sum((((bits >> np.uint64(b)) & np.uint64(1)).astype(np.uint16) << np.uint16(i) for i, b in enumerate(telling)), np.zeros(len(bits), np.uint16))
+    brief_x, brief_y = brief(x.letters), brief(y.letters)
+    order = np.lexsort((brief_x, x.lens))
+    lens, briefs = x.lens[order], brief_x[order]
+    starts = np.flatnonzero(np.r_[True, (lens[1:] != lens[:-1]) | (briefs[1:] != briefs[:-1])])
+    size = None
+    for start, end in zip(starts, np.r_[starts[1:], len(order)]):
+        if lens[start] != size:
+            size = lens[start]
+            apart = _apart(size + y.lens, similarity)
+            fits = np.flatnonzero(apart >= np.abs(y.lens - size))
+            most, letters, shown = np.minimum(apart[fits], 64).astype(np.uint8), y.letters[fits], brief_y[fits]
+        met = np.flatnonzero(np.bitwise_count(shown ^ briefs[start]) <= most)
+        theirs, limit = letters[met], most[met]
+        step = max(1, (1 << 18) // max(1, len(met)))
+        for at in range(start, end, step):
+            own = order[at : min(at + step, end)]
+            found = np.flatnonzero(np.bitwise_count(x.letters[own][:, None] ^ theirs) <= limit)
+            if len(found):
+                i, j = np.divmod(found, len(met))
+                yield own[i], fits[met[j]]
+
+
+def _apart(total: np.ndarray, similarity: float) -> np.ndarray:
+    """How many characters of similar names, of so many together, may be left unmatched."""
+    return total - 2 * np.ceil(total * (similarity / 2) - 1e-9).astype(np.int64)
+
+
+def _in_order(x: _Chunk, y: _Chunk) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """How many characters, modulo 32, of the names at places of x and y stand in the same order in both at most. Of names
+    longer than WORD it says no more than their lengths do."""
+    spelt, places = x.spelt(), y.places()
+
+    def count(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        most = np.minimum(x.lens[i], y.lens[j])
+        short = np.flatnonzero(np.maximum(x.lens[i], y.lens[j]) <= WORD)
+        i, j = i[short], j[short]
+        whole = np.uint64(2**64 - 1) >> (WORD - y.lens[j]).astype(np.uint64)
+        rest = whole
+        for n in range(int(x.lens[i].max(initial=0))):
+            both = rest & places[j, spelt[i, n]]
+            rest = ((rest + both) | (rest - both)) & whole
+        most[short] = y.lens[j] - np.bitwise_count(rest)
+        return most
+
+    return count
+
+
+def _compared(similarity: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in (r for b in batches for r in b.to_pylist()):
+            x, y, same = _Chunk(row, "l"), _Chunk(row, "r"), row["l_chunk"] == row["r_chunk"]
+            in_order, pending, n = _in_order(x, y), [], 0
+
+            def told() -> pa.RecordBatch:
+                i, j = (np.concatenate(c) for c in zip(*pending))  # noqa: B023
+                total = x.lens[i] + y.lens[j]  # noqa: B023
+                enough = total - 2 * in_order(i, j) <= _apart(total, similarity)  # noqa: B023
+                both = ((int(x.pos[a]), x.key(a), int(y.pos[b]), y.key(b)) for a, b in zip(i[enough], j[enough]))  # noqa: B023
+                pairs = [(p, q) if p > q else (q, p) for p, k, q, o in both if SequenceMatcher(None, *((k, o) if p > q else (o, k))).ratio() >= similarity]
+                return pa.RecordBatch.from_pydict({c: pa.array([pair[n] for pair in pairs], pa.int64()) for n, c in enumerate(("later", "earlier"))})
+
+            for i, j in _near_letters(x, y, similarity):
+                if same:
+                    i, j = i[(once := x.pos[i] > y.pos[j])], j[once]
+                if len(i):
+                    pending.append((i, j))
+                    n += len(i)
+                if n > 200_000:
+                    yield told()
+                    pending, n = [], 0
+            if pending:
+                yield told()
+
+    return tiles
 
 
 def similar_names(names: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(later, earlier) positions of names with SequenceMatcher ratio >= similarity, the later name first.
 
-    names: key, pos (distinct). Of T characters in both names M >= similarity T / 2 match in k <= T - 2 M + 1 blocks, as each
-    gap leaves one unmatched. So M - 2 k trigrams are in common, M - k bigrams where that says nothing, and M letters. Two names that
-    have so many in common share one of each other's rarest grams, all but the guaranteed number of the commonest aside:
-    those are the keys of the join. Inside the join, in which narrow rows without their texts meet, the length and the
-    counts of common bigrams and letters are tested before any row is made, then the edit distance; the ratio itself is computed once for each pair that is left.
+    names: key, pos (distinct). Every pair is compared, in tiles of two chunks of names of like length; nothing is shuffled for
+    it. Of T characters in both names M >= similarity T / 2 match, in order. So the counts of their letters differ by
+    T - 2 M at most, which is tested on bits, and the longest common subsequence has M characters; the ratio itself is
+    computed once for each pair that is left.
     """
-    base = names.withColumn("size", F.length("key")).withColumn("grams", F.when(F.col("size") > 1, F.array_distinct(_grams(2))).otherwise(F.array("key")))
-    base = base.withColumn("twice", F.greatest(F.col("size") - 1 - F.size("grams"), F.lit(0)))
-    # the bigrams as 256 bits: what two names share is counted without touching strings; bits lost to equal places count as shared
-    place = lambda g: F.pmod(F.xxhash64(g), F.lit(256)).cast("int")
-    word = lambda w: F.aggregate("grams", F.lit(0).cast("bigint"), lambda v, g: F.when(F.floor(place(g) / 64) == w, v.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), place(g) % 64))).otherwise(v))
-    base = base.select("*", *[word(w).alias(f"bits{w}") for w in range(4)])
-    # and the letters as 128: each letter's first four occurrences have a place of their own
-    said = F.transform(F.sequence(F.lit(1), F.length("key")), lambda i: F.struct(F.substring(F.col("key"), i, F.lit(1)).alias("ch"), F.substring(F.col("key"), F.lit(1), i).alias("so_far")))
-    times = lambda x: F.length(x["so_far"]) - F.length(F.replace(x["so_far"], x["ch"], F.lit("")))
-    letters = F.transform(said, lambda x: (F.ascii(x["ch"]) % 32 + 32 * (F.least(times(x), F.lit(4)) - 1)).cast("int"))
-    base = base.withColumn("letters", letters)
-    half = lambda w: F.aggregate("letters", F.lit(0).cast("bigint"), lambda v, at: F.when(F.floor(at / 64) == w, v.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), at % 64))).otherwise(v))
-    base = base.select("*", *[half(w).alias(f"letters{w}") for w in range(2)]).withColumn("letters_lost", F.col("size") - F.bit_count("letters0") - F.bit_count("letters1")).drop("letters")
-    base = base.withColumn("lost", F.size("grams") - sum((F.bit_count(f"bits{w}") for w in range(1, 4)), F.bit_count("bits0")))
-    base = checkpointed(base.withColumn("single", F.array_distinct(_grams(1))).withColumn("trigrams", F.when(F.col("size") > 2, F.array_distinct(_grams(3))).otherwise(F.array().cast("array<string>"))))
-    kinds = F.explode(F.array(*[F.struct(F.lit(q).alias("q"), F.col(c).alias("of"), _guaranteed(q, similarity).alias("c")) for q, c in ((3, "trigrams"), (2, "grams"), (1, "single"))])).alias("kind")
-    said = base.select("pos", "size", kinds).filter("kind.c is not null and size(kind.of) > 0")
-    gram = said.select("pos", "size", "kind.q", "kind.c", F.size("kind.of").alias("n"), F.explode("kind.of").alias("gram"))
-    rarity = gram.groupBy("gram").agg(F.count("*").alias("df"))
-    ranked = gram.join(rarity, "gram").groupBy("pos", "size", "q", "c", "n").agg(F.transform(F.sort_array(F.collect_list(F.struct("df", "gram"))), lambda g: g["gram"]).alias("rare"))
-    repeated = F.greatest(F.col("size") - F.col("q") + 1 - F.col("n"), F.lit(0))
-    keep = F.col("n") - F.greatest(F.least(F.col("c") - repeated, F.col("n")), F.lit(1)) + 1
-    placed = ranked.select("pos", F.slice("rare", F.lit(1), keep.cast("int")).alias("rare")).join(base.drop("key", "grams", "trigrams", "single"), "pos")
-    placed = checkpointed(placed)
-    keyed = lambda: placed.select("*", F.explode("rare").alias("gram")).drop("rare")
-    a, b = keyed().alias("a"), keyed().alias("b")
-    total = F.col("a.size") + F.col("b.size")
-    matched = F.ceil(total * (similarity / 2) - 1e-9)  # that many characters at least
-    fits = (F.col("a.pos") > F.col("b.pos")) & (F.least("a.size", "b.size") * 2 >= F.lit(similarity) * total)
-    both = [F.bit_count(F.col(f"a.bits{w}").bitwiseAND(F.col(f"b.bits{w}"))) for w in range(4)]
-    enough = sum(both[1:], both[0]) + F.least("a.lost", "b.lost") >= 3 * matched - total - 1 - F.least("a.twice", "b.twice")
-    spelt = [F.bit_count(F.col(f"a.letters{w}").bitwiseAND(F.col(f"b.letters{w}"))) for w in range(2)]
-    spelt = spelt[0] + spelt[1] + F.least("a.letters_lost", "b.letters_lost") >= matched
-    met = a.join(b, (F.col("a.gram") == F.col("b.gram")) & fits & spelt & enough).select(F.col("a.pos").alias("later"), F.col("b.pos").alias("earlier")).distinct()
-    for mine, put in (("later", "x"), ("earlier", "y")):
-        met = met.join(names.select(F.col("pos").alias(mine), F.col("key").alias(put)), mine)
-
-    total = F.length("x") + F.length("y")  # what doesn't match is inserted or deleted
-    met = met.filter(F.levenshtein("x", "y") <= total - 2 * F.ceil(total * (similarity / 2) - 1e-9))
-
-    @F.pandas_udf("boolean")
-    def alike(x: pd.Series, y: pd.Series) -> pd.Series:
-        def test(p: str, q: str) -> bool:
-            m = SequenceMatcher(None, p, q)
-            return m.real_quick_ratio() >= similarity and m.quick_ratio() >= similarity and m.ratio() >= similarity
-
-        return pd.Series([test(p, q) for p, q in zip(x, y)])
-
-    return met.filter(alike("x", "y")).select("later", "earlier")
+    sized = names.select("pos", "key", F.length("key").alias("size"))
+    n = names.count()
+    parts = min(MOST_CHUNKS, max(-(-n // CHUNK), min(8, -(-n // 2000)), 1))
+    fields = "chunk int, shortest int, longest int, pos binary, lens binary, letters binary, text binary"
+    chunks = checkpointed(sized.repartitionByRange(parts, "size", "pos").select("pos", "key").mapInArrow(_feature_rows, fields))
+    side = lambda s: chunks.select(*[F.col(c).alias(f"{s}_{c}") for c in chunks.columns])
+    reach = F.col("l_longest") * (2 - similarity) >= F.col("r_shortest") * similarity - 1e-6
+    tiles = side("l").hint("shuffle_replicate_nl").join(side("r"), (F.col("l_chunk") <= F.col("r_chunk")) & reach)
+    return tiles.mapInArrow(_compared(similarity), "later bigint, earlier bigint")
+
+
+def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(pos, leader) of the names that join a leader, from all links, in order of position."""
+    links = pa.Table.from_batches(batches, pa.schema([("later", pa.int64()), ("earlier", pa.int64())])).sort_by([("later", "ascending"), ("earlier", "ascending")])
+    leader: dict[int, int] = {}
+    for b in links.to_batches(100_000):
+        for later, earlier in zip(b.column("later").to_pylist(), b.column("earlier").to_pylist()):
+            if later not in leader and earlier not in leader:
+                leader[later] = earlier
+    yield pa.RecordBatch.from_pydict({"pos": pa.array(leader.keys(), pa.int64()), "leader": pa.array(leader.values(), pa.int64())})
 
 
 def name_leaders(names: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(key, pos, leader): in order of position, a name joins the first leader it resembles or becomes a leader.
 
-    The order is kept without a sequential task: in each round every name is settled whose earlier look-alikes are, the
-    first open one at least.
+    Up to FEW_LINKS links are followed in order by one task. More are without a sequential task: in each round every name is
+    settled whose earlier look-alikes are, the first open one at least.
     """
     links = checkpointed(similar_names(names, similarity))
+    if links.limit(FEW_LINKS + 1).count() <= FEW_LINKS:
+        joined = links.repartition(1).mapInArrow(_settled, "pos bigint, leader bigint")
+        return checkpointed(names.select("key", "pos").join(joined, "pos", "left").select("key", "pos", F.coalesce("leader", "pos").alias("leader")))
     state = checkpointed(names.select("key", "pos", F.lit(None).cast("bigint").alias("leader")))
     while True:
         open_names = state.filter("leader is null")
@@ -203,8 +291,8 @@ def resolve_entities(rows: DataFrame, km: float = DISTANCE_KM, similarity: float
     first = members.groupBy("component").agg(F.min("row_key").alias("first_row"))
     spots = first.join(middle, "component").join(common_name(members, ["component"]), "component", "left")
 
-    other = rows.filter(~known).select("row_key", "name", entity_key(F.col("name")).alias("key"))
-    names = other.filter("key is not null").groupBy("key").agg(F.min("row_key").alias("pos"), F.min_by("name", "row_key").alias("name"))
+    other = checkpointed(rows.filter(~known).select("row_key", "name", entity_key(F.col("name")).alias("key")))
+    names = checkpointed(other.filter("key is not null").groupBy("key").agg(F.min("row_key").alias("pos"), F.min_by("name", "row_key").alias("name")))
     leaders = name_leaders(names.select("key", "pos"), similarity)
     nameless = other.filter("key is null").select("row_key")
     first_nameless = F.lit(nameless.agg(F.min("row_key")).first()[0]).cast("bigint")
